@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, host_rules
+from . import common, host_rules, url_tree
 
 
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +15,14 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *host_rules.METRICS, F.col("failed_base").alias("base_failed"), "kept")
 
 
+def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_tree.judge(common.table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_host_rules": op9_host_rules}
+    return {"op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_host_rules": host_rules.oracle()}
+    return {"op9_host_rules": host_rules.oracle(), "op10_url_tree": url_tree.oracle()}
