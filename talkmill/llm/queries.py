@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, host_rules, url_tree
+from . import common, host_rules, sentence_pieces, url_tree
+
+
+#: Where the public tokenizers' files are; a parameter of the operators.
+TOKENIZERS = os.environ.get("TALKMILL_TOKENIZERS", "/opt/tokenizers")
+
+
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(common.text_bytes(), 256).alias("text_sha256"))
+    ids = sentence_pieces.encode(docs, model, carry=("doc_id", "text_sha256"))
+    ids = ids.select("doc_id", "text_sha256", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_xxhash64"), "ids")
+    back = sentence_pieces.decode(ids, model, carry=("doc_id", "text_sha256", "n_tokens", "ids_xxhash64"))
+    decoded = F.sha2(F.col("text").cast("binary"), 256)
+    return back.select("doc_id", "n_tokens", "ids_xxhash64", decoded.alias("decoded_sha256"), (decoded == F.col("text_sha256")).alias("round_trip"))
 
 
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +36,7 @@ def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
+    return {"op1_sentence_pieces": op1_sentence_pieces, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
 
 
 def oracle_sql() -> dict[str, str]:
