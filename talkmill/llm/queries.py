@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, host_rules, sentence_pieces, url_tree
+from . import common, host_rules, packing, sentence_pieces, url_tree
 
 
 #: Where the public tokenizers' files are; a parameter of the operators.
@@ -25,6 +25,10 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_xxhash64", decoded.alias("decoded_sha256"), (decoded == F.col("text_sha256")).alias("round_trip"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(common.table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *host_rules.METRICS, F.col("failed_base").alias("base_failed"), "kept")
@@ -36,7 +40,7 @@ def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentence_pieces": op1_sentence_pieces, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
+    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
 
 
 def oracle_sql() -> dict[str, str]:
