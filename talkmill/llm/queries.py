@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, host_rules, packing, private_spans, sentence_pieces, telephony, url_tree
+from . import common, host_rules, line_index, packing, private_spans, sentence_pieces, telephony, url_tree
 
 
 #: Where the public tokenizers' files are; a parameter of the operators.
@@ -33,10 +33,18 @@ def op3_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private_spans.find(common.table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind"].isin(*private_spans.BASE))
     named = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in private_spans.BASE]
+    of_kind = lambda k: F.filter("spans", lambda x: x["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in private_spans.BASE]
     return found.select("doc_id", *counts, F.sha2(named(base).cast("binary"), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
 
 
+def op4_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = line_index.LineIndex(spark)
+    index.insert(docs)
+    return index.digests(docs)
+
+
 def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.features(telephony.store(common.table(spark, sf_dir, "documents")))
 
@@ -52,8 +60,8 @@ def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op7_telephony": op7_telephony, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
+    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op4_line_index": op4_line_index, "op7_telephony": op7_telephony, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_host_rules": host_rules.oracle(), "op10_url_tree": url_tree.oracle()}
+    return {"op4_line_index": line_index.oracle(), "op9_host_rules": host_rules.oracle(), "op10_url_tree": url_tree.oracle()}
