@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, host_rules, line_index, packing, private_spans, sentence_pieces, telephony, url_tree
+from . import common, host_rules, line_index, packing, private_spans, sentence_pieces, telephony, url_tree, warc_bundles
 
 
 #: Where the public tokenizers' files are; a parameter of the operators.
@@ -45,6 +45,11 @@ def op4_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.digests(docs)
 
 
+def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = warc_bundles.folder(spark)
+    return warc_bundles.read(warc_bundles.write(common.table(spark, sf_dir, "pages"), where), where)
+
+
 def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.features(telephony.store(common.table(spark, sf_dir, "documents")))
 
@@ -60,8 +65,8 @@ def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op4_line_index": op4_line_index, "op7_telephony": op7_telephony, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
+    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op4_line_index": op4_line_index, "op6_warc_bundles": op6_warc_bundles, "op7_telephony": op7_telephony, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_index": line_index.oracle(), "op9_host_rules": host_rules.oracle(), "op10_url_tree": url_tree.oracle()}
+    return {"op4_line_index": line_index.oracle(), "op6_warc_bundles": warc_bundles.oracle(), "op9_host_rules": host_rules.oracle(), "op10_url_tree": url_tree.oracle()}
