@@ -18,7 +18,9 @@ BATCH_ROWS = 512
 #: Bytes of text that one step of a batch function holds at a time.
 SLICE_BYTES = 4 << 20
 #: Rows up to which a side of (id, small value) rows is broadcast; beyond it the join is shuffled.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
+#: A key with this share of all rows is heavy: there are at most 1 / HEAVY of them.
+HEAVY = 1 / 1000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -111,3 +113,17 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str,
     """big joined with a written table: broadcast if it has few rows, else shuffled (skewed keys are split by AQE)."""
     rows = small.count() if rows is None else rows
     return big.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small.hint("merge"), on, how)
+
+
+def join_skewed(big: DataFrame, groups: DataFrame, on: list[str], total: int, n: str = "n") -> DataFrame:
+    """big joined with a written table of one row for each key, where n is the key's rows in big and total all rows.
+
+    Few keys are broadcast. Of many keys the heavy ones, of which there are at most
+    1 / HEAVY, are broadcast and the rest shuffled, so no task gets a heavy key whole.
+    """
+    if groups.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(groups), on)
+    limit = int(HEAVY * total) + 1
+    heavy, light = groups.filter(F.col(n) > limit), groups.filter(F.col(n) <= limit)
+    rest = big.join(F.broadcast(heavy.select(*on)), on, "left_anti")
+    return big.join(F.broadcast(heavy), on).unionByName(rest.join(light.hint("merge"), on))

@@ -35,8 +35,6 @@ MIN_CHARS = 10
 SPACE = b" \t\n\x0b\x0c\r"
 #: Keys that a shard is sized for, and slots in a bucket of its filter.
 SHARD_KEYS, SLOTS = 50_000, 4
-#: A key with this share of all (key, document) rows is heavy: there are at most 1 / HEAVY of them.
-HEAVY = 1 / 1000
 NULL_ID = (1 << 63) - 1
 KEY = ["hi", "lo"]
 
@@ -233,13 +231,8 @@ class LineIndex:
     def drops(self) -> DataFrame:
         """(doc_id, keys array<struct<hi, lo>>): what each document loses because a smaller one holds it."""
         shared = common.saved(self.counts().filter("owner < last").select("hi", "lo", "n", "owner"))
-        pairs = self.live()
-        heavy_n = max(2, int(HEAVY * self.log().count()) + 1)
-        heavy, light = shared.filter(F.col("n") >= heavy_n), shared.filter(F.col("n") < heavy_n)
-        marked = pairs.join(F.broadcast(heavy.select(*KEY, F.col("owner").alias("heavy_owner"))), KEY, "left")
-        hot = marked.filter("heavy_owner is not null").filter("doc_id <> heavy_owner").select("doc_id", *KEY)
-        rest = marked.filter("heavy_owner is null").join(light.hint("merge"), KEY).filter("doc_id <> owner").select("doc_id", *KEY)
-        return hot.unionByName(rest).groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("keys"))
+        lost = common.join_skewed(self.live(), shared, KEY, self.log().count()).filter("doc_id <> owner")
+        return lost.groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("keys"))
 
     def _kept(self, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         """(row: all columns but text, data, none, keys) of each document."""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, host_rules, line_index, packing, private_spans, sentence_pieces, telephony, url_tree, warc_bundles
+from . import chosen_path, common, host_rules, line_index, packing, private_spans, sentence_pieces, telephony, url_tree, warc_bundles
 
 
 #: Where the public tokenizers' files are; a parameter of the operators.
@@ -45,6 +45,11 @@ def op4_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.digests(docs)
 
 
+def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = chosen_path.near_duplicates(common.table(spark, sf_dir, "documents"), k=4, percent=80)
+    return judged.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
 def op6_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = warc_bundles.folder(spark)
     return warc_bundles.read(warc_bundles.write(common.table(spark, sf_dir, "pages"), where), where)
@@ -65,7 +70,7 @@ def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op4_line_index": op4_line_index, "op6_warc_bundles": op6_warc_bundles, "op7_telephony": op7_telephony, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
+    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op4_line_index": op4_line_index, "op5_chosen_path": op5_chosen_path, "op6_warc_bundles": op6_warc_bundles, "op7_telephony": op7_telephony, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
 
 
 def oracle_sql() -> dict[str, str]:
