@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chosen_path, common, host_rules, line_index, packing, private_spans, sentence_pieces, telephony, url_tree, warc_bundles
+from . import chosen_path, common, host_rules, line_index, packing, private_spans, repeats, sentence_pieces, telephony, url_tree, warc_bundles
 
 
 #: Where the public tokenizers' files are; a parameter of the operators.
@@ -59,6 +59,10 @@ def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telephony.features(telephony.store(common.table(spark, sf_dir, "documents")))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(common.table(spark, sf_dir, "documents"))
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(common.table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *host_rules.METRICS, F.col("failed_base").alias("base_failed"), "kept")
@@ -70,7 +74,7 @@ def op10_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op4_line_index": op4_line_index, "op5_chosen_path": op5_chosen_path, "op6_warc_bundles": op6_warc_bundles, "op7_telephony": op7_telephony, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
+    return {"op1_sentence_pieces": op1_sentence_pieces, "op2_packing": op2_packing, "op3_private_spans": op3_private_spans, "op4_line_index": op4_line_index, "op5_chosen_path": op5_chosen_path, "op6_warc_bundles": op6_warc_bundles, "op7_telephony": op7_telephony, "op8_repeats": op8_repeats, "op9_host_rules": op9_host_rules, "op10_url_tree": op10_url_tree}
 
 
 def oracle_sql() -> dict[str, str]:
