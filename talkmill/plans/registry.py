@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from . import spoken
+
 
 def queries() -> dict:
-    return {}
+    return {**spoken.QUERIES}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {**spoken.SQL}
