@@ -12,7 +12,9 @@ again; extra columns are ignored; an empty table packs to nothing.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -30,34 +32,80 @@ END_ID = 1
 #: Pieces in a salt of a class, and the most salts that a class is split into for ranking.
 SALT_ROWS, MAX_SALTS = 5_000, 4_096
 #: Chunks that a Python worker keeps tokenised.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 1_000_000
+#: Pre-tokens in a line that the library encodes at once.
+LINE = 200
 #: Column generation ends within this share of the bound, or after so many columns.
 GAP, MAX_COLUMNS = 2e-4, 6_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+#: The tokenizer's own split of lower-case text, spelled out for characters up to U+00FF
+#: (letters, numbers and white space of Unicode in that range).
+LETTERS, NUMBERS, BLANK = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{BLANK}{LETTERS}{NUMBERS}]+")
+
+
 class Tokens:
-    """Ids of texts by a tokenizers file whose pre-tokens never cross white space; each distinct chunk is encoded once."""
+    """Ids of texts by a tokenizers file; each distinct pre-token is encoded once.
+
+    The file must lower-case, split as LATIN does and never cross white space. Texts
+    with characters beyond U+00FF, or with what may be a special token, are cut at
+    white space alone and the library splits the chunks.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text, without special tokens."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        cache = self.cache
+        out: list[bytes] = [b""] * len(texts)
+        latin, other = [], []
+        for i, text in enumerate(texts):
+            (latin if text.isascii() or is_latin(text) else other).append(i) if "<|" not in text else other.append(i)
+        split = [LATIN.findall(texts[i].lower()) for i in latin]
+        for i, ids in zip(latin, self._joined(split, self.words, self._encode_words), strict=True):
+            out[i] = ids
+        split = [texts[i].replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for i in other]
+        for i, ids in zip(other, self._joined(split, self.chunks, self._encode_chunks), strict=True):
+            out[i] = ids
+        return out
+
+    def _joined(self, split: list[list[str]], cache: dict[str, bytes], encode) -> list[bytes]:
         missing = list(set(chain.from_iterable(split)) - cache.keys())
         if len(cache) + len(missing) > CACHE_CHUNKS:
             cache.clear()
-            cache[""] = b""
-            missing = list(set(chain.from_iterable(split)) - {""})
-        for i in range(0, len(missing), 10_000):
-            some = missing[i : i + 10_000]
-            cache.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True))
-        return [b"".join(map(cache.__getitem__, chunks)) for chunks in split]
+            missing = list(set(chain.from_iterable(split)))
+        for i in range(0, len(missing), 20_000):
+            some = missing[i : i + 20_000]
+            cache.update(zip(some, encode(some), strict=True))
+        return [b"".join(map(cache.__getitem__, parts)) for parts in split]
+
+    def _encode_chunks(self, some: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+
+    def _encode_words(self, some: list[str]) -> list[bytes]:
+        """Pre-tokens go in lines of many; the library tells which of them each id belongs to."""
+        out = []
+        for i, e in enumerate(self.tokenizer.encode_batch([" ".join(some[i : i + LINE]) for i in range(0, len(some), LINE)], add_special_tokens=False)):
+            own = np.fromiter(e.word_ids, np.int64, len(e))
+            n = min(LINE, len(some) - i * LINE)
+            ids = array("I", e.ids).tobytes()
+            edges = (4 * np.searchsorted(own, np.arange(n + 1))).tolist()
+            out += [ids[a:b] for a, b in zip(edges, edges[1:])]
+        return out
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(maxsize=2)
