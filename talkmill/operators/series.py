@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import crop_size, rounded
+from .tracking import folded
 
 
 def largest(boxes: DataFrame, key: list[str], pos: str = "det_pos") -> DataFrame:
@@ -92,17 +92,20 @@ def dead_band(series: DataFrame, key: str, values: list[str], zone: float) -> Da
     if zone <= 0:
         return series
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("frame")
-        return group.assign(**{v: held(group[v].to_list(), zone) for v in values})[[key, "frame", *values]]
+    def fold(group: list[tuple]) -> list[tuple]:
+        columns = [held([row[2 + i] for row in group], zone) for i in range(len(values))]
+        return [(*row[:2], *v) for row, v in zip(group, zip(*columns, strict=True), strict=True)]
 
     kinds = {f.name: f.dataType.simpleString() for f in series.schema}
-    return series.select(key, "frame", *values).groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, frame {kinds['frame']}, " + ", ".join(f"{v} double" for v in values))
+    return folded(series.select(key, "frame", *values), [key], ["frame"], fold, f"{key} {kinds[key]}, frame {kinds['frame']}, " + ", ".join(f"{v} double" for v in values))
 
 
 def crop_path(known: DataFrame, recordings: DataFrame, key: str, zoom: float = 0.5, smooth_s: float = 2.0, zone: float = 0.0, fps: float = 25.0) -> DataFrame:
     """(key, frame, x, y, cw, ch): the crop that follows cx, cy, a tenth of its height lower, inside the frame.
 
+    Places are rounded to a millionth before they are rounded to pixels, so the order
+    of sums can't move a half pixel.
+
     recordings has key, n_frames, width and height; without detections the crop is centred.
     """
     cw, ch = crop_size(F.col("width"), F.col("height"), zoom)
@@ -110,7 +113,7 @@ def crop_path(known: DataFrame, recordings: DataFrame, key: str, zoom: float = 0
     path = path.select(key, "frame", F.coalesce("cx", F.col("width") / 2).alias("cx"), F.coalesce("cy", F.col("height") / 2).alias("cy"))
     path = dead_band(smoothed(path, key, ["cx", "cy"], max(1, round(smooth_s * fps))), key, ["cx", "cy"], zone)
     sized = path.join(recordings.select(key, "width", "height", cw.alias("cw"), ch.alias("ch")), key)
-    inside = lambda c, size, whole: F.greatest(F.lit(0), F.least(whole - size, rounded(c - size / 2))).cast("long")
+    inside = lambda c, size, whole: F.greatest(F.lit(0), F.least(whole - size, rounded(F.round(c - size / 2, 6)))).cast("long")
     return sized.select(key, "frame", inside(F.col("cx"), F.col("cw"), F.col("width")).alias("x"), inside(F.col("cy") + F.col("ch") * 0.1, F.col("ch"), F.col("height")).alias("y"), "cw", "ch")
 
 

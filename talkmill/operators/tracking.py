@@ -7,6 +7,8 @@ makes a face the main one.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,14 +18,45 @@ BOX = ["x1", "y1", "x2", "y2"]
 SAME, PAIR, LINGER = 0.3, 0.05, 2
 
 
-def overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Intersection over union of a box with each row of boxes."""
-    if not len(b):
-        return np.zeros(0)
-    size = np.clip(np.minimum(a[2:], b[:, 2:]) - np.maximum(a[:2], b[:, :2]), 0, None)
-    both = size[:, 0] * size[:, 1]
-    total = (a[2] - a[0]) * (a[3] - a[1]) + (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1]) - both
-    return np.where((both > 0) & (total > 0), both / np.where(total > 0, total, 1), 0.0)
+def folded(rows: DataFrame, key: list[str], order: list[str], fold: Callable[[list[tuple]], list[tuple]], schema: str) -> DataFrame:
+    """A fold of each group's rows (tuples in column order, sorted) to rows of the schema.
+
+    Groups stream through a task one after the other, so many small ones cost no
+    Python call each from the JVM and only one is held at a time.
+    """
+    dealt = rows.repartition(*key).sortWithinPartitions(*key, *order)
+    places = [rows.columns.index(k) for k in key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group: list[tuple] = []
+        now, out = None, []
+        for batch in batches:
+            for row in batch.itertuples(index=False, name=None):
+                own = tuple(row[p] for p in places)
+                if own != now and group:
+                    out += fold(group)
+                    group = []
+                now = own
+                group.append(row)
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        if group:
+            out += fold(group)
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    return dealt.mapInPandas(run, schema)
+
+
+def share(a: tuple, b: tuple) -> float:
+    """Intersection over union of two boxes."""
+    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+    if w <= 0 or h <= 0:
+        return 0.0
+    total = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - w * h
+    return w * h / total if total > 0 else 0.0
 
 
 class Identity:
@@ -56,60 +89,58 @@ def tracked(detections: DataFrame, key: list[str], every: int = 4, threshold: fl
     time; sim is null where no vector could be had.
     """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["frame", "det_pos"])
-        boxes, last, who = np.zeros((0, 4)), np.zeros(0, int), []
-        track, main, looked = [], [], []
-        for frame, sim, *box in group[["frame", "sim", *BOX]].itertuples(index=False):
-            box = np.array(box, float)
-            hits = np.flatnonzero((frame - last <= 4 * every) & (overlap(box, boxes) >= SAME))
-            if len(hits):
-                at = int(hits[0])
-                boxes[at], last[at] = box, frame
-                ask = who[at].due(frame, first, again, most)
-                if ask and not pd.isna(sim):
-                    who[at].asked = frame
+    k = len(key)
+
+    def fold(group: list[tuple]) -> list[tuple]:
+        tracks: list[list] = []  # box, last frame, identity
+        out = []
+        for row in group:
+            frame, box, sim = row[k], row[k + 2 : k + 6], row[k + 6]
+            sim = None if sim is None or sim != sim else float(sim)
+            at = next((i for i, t in enumerate(tracks) if frame - t[1] <= 4 * every and share(box, t[0]) >= SAME), None)
+            if at is None:
+                at, ask = len(tracks), True
+                tracks.append([box, frame, Identity(threshold, recent)])
             else:
-                at, ask = len(who), True
-                boxes, last = np.vstack([boxes, box]), np.append(last, frame)
-                who.append(Identity(threshold, recent))
+                tracks[at][:2] = box, frame
+                ask = tracks[at][2].due(frame, first, again, most)
+                if ask and sim is not None:
+                    tracks[at][2].asked = frame
+            who = tracks[at][2]
             if ask:
-                who[at].take(None if pd.isna(sim) else float(sim))
-            track.append(at)
-            main.append(who[at].main)
-            looked.append(bool(ask))
-        return group[[*key, "frame", "det_pos", *BOX]].assign(track=track, is_main=main, looked=looked)
+                who.take(sim)
+            out.append((*row[: k + 6], at, who.main, ask))
+        return out
 
     kinds = {f.name: f.dataType.simpleString() for f in detections.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in (*key, "frame", "det_pos", *BOX)) + ", track long, is_main boolean, looked boolean"
-    return detections.select(*key, "frame", "det_pos", *BOX, "sim").groupBy(*key).applyInPandas(run, schema)
+    return folded(detections.select(*key, "frame", "det_pos", *BOX, "sim"), key, ["frame", "det_pos"], fold, schema)
 
 
-def lingering(samples: list[np.ndarray], linger: int = LINGER) -> list[np.ndarray]:
+def lingering(samples: list[list[tuple]], linger: int = LINGER) -> list[list[tuple]]:
     """Each sample's boxes and those of the samples just before that none of them overlaps."""
     out = []
     for i, own in enumerate(samples):
         held = list(own)
-        for earlier in samples[max(0, i - linger) : i][::-1]:
+        for earlier in reversed(samples[max(0, i - linger) : i]):
             for box in earlier:
-                if not (overlap(box, np.array(held).reshape(-1, 4)) >= SAME).any():
+                if all(share(box, other) < SAME for other in held):
                     held.append(box)
-        out.append(np.array(held).reshape(-1, 4))
+        out.append(held)
     return out
 
 
-def paired(now: np.ndarray, then: np.ndarray) -> np.ndarray:
+def paired(now: list[tuple], then: list[tuple]) -> list[tuple]:
     """Boxes over a gap: unions of boxes matched greedily, the later of equal ones, and those without a match."""
-    free, out = np.ones(len(then), bool), []
+    free, out = list(range(len(then))), []
     for box in now:
-        share = np.where(free, overlap(box, then), -1.0)
-        best = len(share) - 1 - int(share[::-1].argmax()) if len(share) else -1
-        if best >= 0 and share[best] >= PAIR:
-            free[best] = False
-            out.append(np.concatenate([np.minimum(box[:2], then[best, :2]), np.maximum(box[2:], then[best, 2:])]))
-        else:
-            out.append(box)
-    return np.array(out + list(then[free])).reshape(-1, 4)
+        best = max(((share(box, then[j]), j) for j in free), default=(0.0, -1))
+        if best[0] >= PAIR:
+            other = then[best[1]]
+            free.remove(best[1])
+            box = (min(box[0], other[0]), min(box[1], other[1]), max(box[2], other[2]), max(box[3], other[3]))
+        out.append(box)
+    return out + [then[j] for j in free]
 
 
 def covered(sampled: DataFrame, key: list[str], every: int, linger: int = LINGER) -> DataFrame:
@@ -119,22 +150,22 @@ def covered(sampled: DataFrame, key: list[str], every: int, linger: int = LINGER
     of boxes, maybe empty). Ranges stand for their frames; explode them with per_frame().
     """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("frame")
-        frames, n = group.frame.to_list(), int(group.n_frames.iloc[0])
-        held = lingering([np.array([[b[c] for c in BOX] for b in boxes], float).reshape(-1, 4) for boxes in group.boxes], linger)
+    k = len(key)
+
+    def fold(group: list[tuple]) -> list[tuple]:
+        frames, n = [int(r[k]) for r in group], int(group[0][k + 1])
+        held = lingering([[tuple(b[c] for c in BOX) for b in r[k + 2]] for r in group], linger)
         rows = []
         for i, start in enumerate(frames):
             final = i + 1 == len(frames)
-            boxes = paired(held[i], np.zeros((0, 4)) if final else held[i + 1])
             stop = n if final else min(frames[i + 1], n)
             if start < stop:
-                rows += [(*group[key].iloc[0], start, stop, j, *box) for j, box in enumerate(boxes)]
-        return pd.DataFrame(rows, columns=[*key, "from_frame", "to_frame", "box_pos", *BOX])
+                rows += [(*group[0][:k], start, stop, j, *box) for j, box in enumerate(paired(held[i], [] if final else held[i + 1]))]
+        return rows
 
     kinds = {f.name: f.dataType.simpleString() for f in sampled.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in key) + ", from_frame long, to_frame long, box_pos long, " + ", ".join(f"{c} double" for c in BOX)
-    return sampled.select(*key, "frame", "n_frames", "boxes").groupBy(*key).applyInPandas(run, schema)
+    return folded(sampled.select(*key, "frame", "n_frames", "boxes"), key, ["frame"], fold, schema)
 
 
 def per_frame(ranges: DataFrame) -> DataFrame:

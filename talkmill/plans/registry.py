@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import spoken
+from . import kept, seen, spoken
 
 
 def queries() -> dict:
-    return {**spoken.QUERIES}
+    return {**spoken.QUERIES, **seen.QUERIES, **kept.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**spoken.SQL}
+    return {**spoken.SQL, **seen.SQL, **kept.SQL}
