@@ -5,14 +5,17 @@ windows have equal anchors at equal places, so windows only need to be compared
 windows of the same anchor. A document's consecutive windows of one anchor make a
 context. Contexts are counted by digest: a context that occurs twice is repeated
 whole, and an anchor with one context that occurs once is not repeated at all. Only
-anchors with several different contexts are left; one copy of each such context is
-fetched, contexts of an anchor meet in one batch, and there a Burrows-Wheeler
-transform is extended backwards breadth-first. Intervals fix common-prefix lengths
-in increasing order and the search stops at LENGTH: neighbours without a value share
-LENGTH bytes or more, which marks repeated windows.
-
-An anchor whose contexts exceed BATCH_BYTES is not given to one task: its windows are
-hashed to 128 bits, counted, and joined back instead, which is exact as well.
+anchors with several different contexts are left, and one copy of each such context
+is fetched. Its windows are dealt once more, by STEP places of the anchor in them:
+windows of one step share a core of LENGTH - STEP + 1 bytes or more, so parts of
+contexts are counted as contexts were, by core and digest.
+
+What is left are cores with several different parts. They meet in one batch, and
+there a Burrows-Wheeler transform is extended backwards breadth-first. Intervals fix
+common-prefix lengths in increasing order and the search stops at LENGTH: neighbours
+without a value share LENGTH bytes or more, which marks repeated windows. A core
+whose parts exceed BATCH_BYTES is not given to one task: its windows are hashed to
+128 bits, counted, and joined back instead, which is exact as well.
 
 Defined cases: null and empty texts and texts under LENGTH bytes lose nothing; a row
 that repeats an id is another text that repeats the first; a null id stands for its
@@ -35,9 +38,12 @@ from . import common
 LENGTH, GRAM = 400, 32
 #: Bytes of contexts in one transform, and in a segment of a very long text.
 BATCH_BYTES, SEGMENT = 256 << 10, 8 << 20
+#: Places of an anchor that windows are dealt by.
+STEP = 40
 BASE = 0x9E3779B97F4A7C15
 PLACE = np.uint64((1 << 24) - 1)
-KEY = ["anchor", "hi", "lo"]
+#: A context or part by two 64-bit hashes: of its anchor or core, and of all its bytes.
+KEY = ["anchor", "digest"]
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -60,9 +66,9 @@ def window_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
 
 
-def contexts(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int]]:
-    """(anchor hash, first window, last window) of each run of windows with one anchor."""
-    out: list[tuple[int, int, int]] = []
+def contexts(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int, int]]:
+    """(anchor hash, anchor's place, first window, last window) of each run of windows with one anchor."""
+    out: list[tuple[int, int, int, int]] = []
     for begin in range(0, len(data) - length + 1, SEGMENT):
         part = np.frombuffer(data, np.uint8)[begin : begin + SEGMENT + length - 1]
         h = gram_hashes(part, gram)
@@ -71,7 +77,7 @@ def contexts(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[
         edges = np.flatnonzero(at[1:] != at[:-1]) + 1
         first = np.concatenate([[0], edges])
         last = np.concatenate([edges - 1, [len(at) - 1]])
-        out += zip(h[at[first]].view(np.int64).tolist(), (first + begin).tolist(), (last + begin).tolist(), strict=True)
+        out += zip(h[at[first]].view(np.int64).tolist(), (at[first] + begin).tolist(), (first + begin).tolist(), (last + begin).tolist(), strict=True)
     return out
 
 
@@ -79,8 +85,14 @@ def own_key(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), -F.abs(F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))).alias("doc")
 
 
+def signed(data) -> int:
+    """A 64-bit hash of bytes as a signed number."""
+    h = xxhash.xxh3_64_intdigest(data)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(anchor, hi, lo, doc, bytes, places): each document's distinct contexts, by digest, and where they start."""
+    """(anchor, digest, doc, bytes, at, places): each document's distinct contexts, the anchor's place in them, and where they start."""
 
     def make():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -88,18 +100,16 @@ def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             for doc, x in zip(batch.column("doc").to_pylist(), batch.column("data"), strict=True):
                 data = x.as_py()
                 view = memoryview(data)
-                for anchor, first, last in contexts(data, length) if len(data) >= length else ():
-                    rows.setdefault((anchor, xxhash.xxh3_128_digest(view[first : last + length]), doc, last + length - first), []).append(first)
+                for anchor, at, first, last in contexts(data, length) if len(data) >= length else ():
+                    rows.setdefault((anchor, signed(view[first : last + length]), doc, last + length - first, at - first), []).append(first)
             if not rows:
                 return None
-            anchor, digest, doc, size = zip(*rows, strict=True)
-            halves = np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
-            arrays = [pa.array(anchor, pa.int64()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(doc, pa.int64()), pa.array(size, pa.int64()), pa.array(list(rows.values()), pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(arrays, ["anchor", "hi", "lo", "doc", "bytes", "places"])
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(list(rows.values()), pa.list_(pa.int64()))], ["anchor", "digest", "doc", "bytes", "at", "places"])
 
         return fn
 
-    return common.map_batches(docs, make, "anchor long, hi long, lo long, doc long, bytes long, places array<long>")
+    return common.map_batches(docs, make, "anchor long, digest long, doc long, bytes int, at int, places array<long>")
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -116,12 +126,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         rank, size = new, 2 * size
 
 
-def repeated(parts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """Starts, in each part, of the strings of length bytes that start elsewhere in the parts as well."""
-    sizes = np.array([len(p) for p in parts])
+def repeated(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
+    """Starts, in each text, of the strings of length bytes that start elsewhere in the texts as well."""
+    sizes = np.array([len(p) for p in texts])
     ends = np.cumsum(sizes + 1)
-    n, k = int(ends[-1]), len(parts)
-    symbols, small = np.unique(np.frombuffer(b"".join(parts), np.uint8), return_inverse=True)
+    n, k = int(ends[-1]), len(texts)
+    symbols, small = np.unique(np.frombuffer(b"".join(texts), np.uint8), return_inverse=True)
     text = np.empty(n, np.int64)
     inside = np.ones(n, bool)
     inside[ends - 1] = False
@@ -162,35 +172,58 @@ def ranges(starts: np.ndarray) -> list[int]:
     return np.stack([starts[np.concatenate([[0], edges + 1])], starts[np.concatenate([edges, [len(starts) - 1]])]], axis=1).ravel().tolist()
 
 
-def fetched(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """(anchor, hi, lo, context): the bytes of each wanted context, from the document and place named in it."""
-    lists = common.saved(wanted.groupBy("doc").agg(F.collect_list(F.struct(*KEY, "place", "bytes")).alias("wanted")))
-    rows = common.join_small(docs, common.saved(lists.select("doc")), "doc", "left_semi").join(lists, "doc")
+def fetched(wanted: DataFrame, sources: DataFrame, on: list[str]) -> DataFrame:
+    """(anchor, digest, at, context): the bytes at a place of a source row (on, data) that each wanted row (on, KEY, at, place, bytes) names."""
+    lists = common.saved(wanted.groupBy(*on).agg(F.collect_list(F.struct(*KEY, "at", "place", "bytes")).alias("wanted")))
+    rows = common.join_small(sources, common.saved(lists.select(*on)), on, "left_semi").join(lists, on).select("data", "wanted")
 
     def make():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [(w["anchor"], w["hi"], w["lo"], data[w["place"] : w["place"] + w["bytes"]]) for data, ws in ((x.as_py(), y.as_py()) for x, y in zip(batch.column("data"), batch.column("wanted"), strict=True)) for w in ws]
-            columns = list(zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())], [*KEY, "context"])
+            out = [(w["anchor"], w["digest"], w["at"], data[w["place"] : w["place"] + w["bytes"]]) for data, ws in ((x.as_py(), y.as_py()) for x, y in zip(batch.column("data"), batch.column("wanted"), strict=True)) for w in ws]
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)]
+            return pa.RecordBatch.from_arrays(columns, [*KEY, "at", "context"])
+
+        return fn
+
+    return common.map_batches(rows, make, "anchor long, digest long, at int, context binary")
+
+
+def parts(found: DataFrame, length: int = LENGTH, step: int = STEP) -> DataFrame:
+    """(p_anchor, p_digest, anchor, digest, place, bytes): the parts of each context; anchor is now the hash of the core."""
+
+    def make():
+        def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out = []
+            for key, at, x in zip(zip(*(batch.column(c).to_pylist() for c in KEY), strict=True), batch.column("at").to_pylist(), batch.column("context"), strict=True):
+                view = memoryview(x.as_py())
+                last = len(view) - length
+                for level in range(max(0, at - last) // step, at // step + 1):
+                    # windows that have their anchor at a place from level * step on share these bytes
+                    low, high = at - (level + 1) * step + 1, at - level * step
+                    core = signed(b"%d %d " % (key[0], level) + bytes(view[high : low + length]))
+                    first, stop = max(0, low), min(last, high) + length
+                    out.append((*key, core, signed(view[first:stop]), first, stop - first))
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (*[pa.int64()] * 4, pa.int32(), pa.int32()), strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["p_anchor", "p_digest", *KEY, "place", "bytes"])
 
         return fn
 
-    return common.map_batches(rows, make, "anchor long, hi long, lo long, context binary")
+    return common.map_batches(found, make, "p_anchor long, p_digest long, anchor long, digest long, place int, bytes int", "context")
 
 
 def expanded(found: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(anchor, hi, lo, spans): repeated windows of contexts of small anchors, as flat (first, last) pairs."""
+    """(anchor, digest, spans): repeated windows of the contexts of each anchor, as flat (first, last) pairs."""
     dealt = found.repartition("anchor").sortWithinPartitions("anchor")
 
     def run(batches):
-        keys: list[tuple[int, int, int]] = []
-        parts: list[bytes] = []
+        keys: list[tuple[int, int]] = []
+        held: list[bytes] = []
         size = 0
 
         def flush() -> pa.RecordBatch | None:
-            hits = [(k, s) for k, starts in zip(keys, repeated(parts, length), strict=True) if (s := ranges(starts))]
+            hits = [(k, s) for k, starts in zip(keys, repeated(held, length), strict=True) if (s := ranges(starts))]
             keys.clear()
-            parts.clear()
+            held.clear()
             if not hits:
                 return None
             columns = list(zip(*(k for k, _ in hits), strict=True))
@@ -203,12 +236,12 @@ def expanded(found: DataFrame, length: int = LENGTH) -> DataFrame:
                         yield out
                     size = 0
                 keys.append(key)
-                parts.append(context.as_py())
-                size += len(parts[-1])
+                held.append(context.as_py())
+                size += len(held[-1])
         if keys and (out := flush()) is not None:
             yield out
 
-    return dealt.mapInArrow(run, "anchor long, hi long, lo long, spans array<long>")
+    return dealt.mapInArrow(run, "anchor long, digest long, spans array<long>")
 
 
 def counted(found: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -229,26 +262,53 @@ def counted(found: DataFrame, length: int = LENGTH) -> DataFrame:
 
         return fn
 
-    windows = common.saved(common.map_batches(found, make, "anchor long, hi long, lo long, place long, w1 long, w2 long", "context"))
+    windows = common.saved(common.map_batches(found, make, "anchor long, digest long, place long, w1 long, w2 long", "context"))
     twice = common.saved(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1"))
     hits = common.join_skewed(windows, twice, ["w1", "w2"], windows.count()).groupBy(*KEY).agg(F.sort_array(F.collect_list("place")).alias("at"))
     return hits.select(*KEY, F.flatten(F.transform("at", lambda x: F.array(x, x))).alias("spans"))
 
 
+def counted_kinds(seen: DataFrame, times, one: list) -> tuple[DataFrame, DataFrame]:
+    """(kinds, anchors) of rows with KEY: each KEY's rows n, occurrences times and one of its places; anchors with several kinds, as k and size."""
+    kinds = common.saved(seen.groupBy(*KEY).agg(F.sum(times).alias("times"), F.count("*").alias("n"), F.min(F.struct(*one)).alias("one")))
+    anchors = common.saved(kinds.groupBy("anchor").agg(F.count("*").alias("k"), F.sum("one.bytes").alias("size")).filter("k > 1"))
+    return kinds, anchors
+
+
+def several(kinds: DataFrame, anchors: DataFrame) -> DataFrame:
+    return common.join_skewed(kinds.select(*KEY, "one.*"), anchors, ["anchor"], anchors.agg(F.sum("k")).first()[0] or 0, "k")
+
+
+def whole(kinds: DataFrame, length: int) -> DataFrame:
+    """(KEY, n, spans) of what occurs more than once."""
+    return kinds.filter("times > 1").select(*KEY, "n", F.array(F.lit(0).cast("long"), (F.col("one.bytes") - length).cast("long")).alias("spans"))
+
+
+def part_spans(found: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(anchor, digest, spans): repeated windows of different contexts, in their parts."""
+    seen = common.saved(parts(found, length))
+    kinds, anchors = counted_kinds(seen, F.lit(1), ["p_anchor", "p_digest", "place", "bytes"])
+    names = ["p_anchor", "p_digest"]
+    sources = found.select(F.col("anchor").alias("p_anchor"), F.col("digest").alias("p_digest"), F.col("context").alias("data"))
+    wanted = several(kinds, anchors).withColumn("at", F.lit(0))
+    got = common.saved(fetched(wanted, sources, names).drop("at"))
+    large = F.broadcast(anchors.filter(F.col("size") > BATCH_BYTES).select("anchor")) if anchors.filter(F.col("size") > BATCH_BYTES).count() <= common.BROADCAST_ROWS else anchors.filter(F.col("size") > BATCH_BYTES).select("anchor")
+    spans = expanded(got.join(large, "anchor", "left_anti"), length)
+    if anchors.filter(F.col("size") > BATCH_BYTES).head(1):
+        spans = spans.unionByName(counted(got.join(large, "anchor", "left_semi"), length))
+    hits = whole(kinds, length)
+    hits = common.saved(hits.unionByName(kinds.filter("times = 1").select(*KEY, "n").join(spans, KEY)))
+    rows = common.join_skewed(seen, hits, KEY, hits.agg(F.sum("n")).first()[0] or 0)
+    return rows.select(F.col("p_anchor").alias("anchor"), F.col("p_digest").alias("digest"), F.transform("spans", lambda x: x + F.col("place")).alias("spans"))
+
+
 def marks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, found array<struct<places, spans>>): where each document's contexts start and their repeated windows."""
     seen = common.saved(occurrences(docs, length))
-    kinds = seen.groupBy(*KEY).agg(F.sum(F.size("places")).alias("times"), F.count("*").alias("n"), F.min(F.struct("doc", F.col("places")[0].alias("place"), "bytes")).alias("one"))
-    kinds = common.saved(kinds)
-    anchors = common.saved(kinds.groupBy("anchor").agg(F.count("*").alias("k"), F.sum("one.bytes").alias("size")).filter("k > 1"))
-    several = common.join_skewed(kinds.select(*KEY, "one.*"), anchors, ["anchor"], anchors.agg(F.sum("k")).first()[0] or 0, "k")
-    found = fetched(several.filter(F.col("size") <= BATCH_BYTES), docs)
-    spans = expanded(found, length)
-    if anchors.filter(F.col("size") > BATCH_BYTES).head(1):
-        spans = spans.unionByName(counted(fetched(several.filter(F.col("size") > BATCH_BYTES), docs), length))
-    whole = kinds.filter("times > 1").select(*KEY, "n", F.array(F.lit(0).cast("long"), F.col("one.bytes") - length).alias("spans"))
-    once = kinds.filter("times = 1").select(*KEY, "n").join(spans, KEY)
-    hits = common.saved(whole.unionByName(once))
+    kinds, anchors = counted_kinds(seen, F.size("places"), ["doc", F.col("places")[0].alias("place"), "bytes", "at"])
+    found = common.saved(fetched(several(kinds, anchors), docs, ["doc"]))
+    once = kinds.filter("times = 1").select(*KEY, "n").join(part_spans(found, length).groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans")), KEY)
+    hits = common.saved(whole(kinds, length).unionByName(once))
     rows = common.join_skewed(seen.select(*KEY, "doc", "places"), hits, KEY, hits.agg(F.sum("n")).first()[0] or 0)
     return rows.groupBy("doc").agg(F.collect_list(F.struct("places", "spans")).alias("found"))
 
@@ -266,8 +326,14 @@ def removed(size: int, found: pa.Scalar, length: int = LENGTH) -> np.ndarray:
 
 
 def marked(docs: DataFrame, length: int) -> DataFrame:
-    """docs (a row for each text: doc, data, ...) with found."""
-    return docs.join(marks(docs.select("doc", "data"), length), "doc", "left")
+    """docs (a row for each text: doc, data, ...) with found; texts without any are not shuffled where the others are few."""
+    found = common.saved(marks(docs.select("doc", "data"), length))
+    ids = found.select("doc")
+    if ids.count() > common.BROADCAST_ROWS:
+        return docs.join(found, "doc", "left")
+    touched = docs.join(F.broadcast(ids), "doc", "left_semi").join(found.hint("merge"), "doc")
+    rest = docs.join(F.broadcast(ids), "doc", "left_anti").withColumn("found", F.lit(None).cast(found.schema["found"].dataType))
+    return touched.unionByName(rest)
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
