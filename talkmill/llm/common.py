@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +72,11 @@ def saved(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def some(df: DataFrame) -> bool:
+    """Whether a written table has rows, by one job."""
+    return df.agg(F.count("*")).first()[0] > 0
+
+
 def text_bytes(name: str = "text") -> Column:
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
@@ -78,9 +84,8 @@ def text_bytes(name: str = "text") -> Column:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of at most limit bytes in a binary column, a row at least."""
-    sizes = [len(x) for x in batch.column(column)] if batch.num_rows < 2 else offsets_of(batch.column(column))
     start = total = 0
-    for row, n in enumerate(sizes):
+    for row, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
         if total and total + n > limit:
             yield batch.slice(start, row - start)
             start, total = row, 0
@@ -89,14 +94,25 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start)
 
 
-def offsets_of(column: pa.Array) -> list[int]:
-    import pyarrow.compute as pc
+#: How to empty what a Python worker holds between batches, by operator.
+_held: dict[str, Callable[[], None]] = {}
 
-    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
 
+def hold(name: str, clear: Callable[[], None]) -> None:
+    """Says that an operator now fills its store in this worker; the stores of other operators are emptied.
+
+    Workers are used again, so without this a pipeline's stores would add up.
+    """
+    for other in [k for k in _held if k != name]:
+        _held.pop(other)()
+    _held[name] = clear
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "data") -> DataFrame:
-    """mapInArrow by a function of bounded slices; make() builds it once in each task."""
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "data", ends: bool = False) -> DataFrame:
+    """mapInArrow by a function of bounded slices; make() builds it once in each task.
+
+    ends: the function is called once more, with None, after the last slice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
@@ -105,6 +121,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
                 out = fn(part)
                 if out is not None and out.num_rows:
                     yield out
+        if ends and (out := fn(None)) is not None and out.num_rows:
+            yield out
 
     return df.mapInArrow(run, schema)
 
