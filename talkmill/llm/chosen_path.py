@@ -6,13 +6,15 @@ similarity s stay together with probability s at each level. A node of few class
 is compared exhaustively by sketches; a larger one is branched further. Every pair
 that a sketch lets through is confirmed on the full sets of both texts.
 
-Large groups of near copies are not expanded to all pairs. First each class is
-tried against one pivot (the least class) of the nodes it is in, which links most of
-a group in one row each. Afterwards only pairs of classes that are in different
-components still count: they are compared in the small nodes, and in nodes that are
-still large at the last level those outside the node's main component are compared,
-in blocks, with all of its members. Pairs within a component can add no link between
-components, so the components are those of all links found.
+Large groups of near copies are not expanded to all pairs. In a node, sketches give a
+forest of candidates, a row for each class and not for each pair; the trees of all
+nodes join to clusters, which hold every candidate pair. Each class is first tried
+against its nearest candidate, which links most of a group in one row each. After
+that only pairs in different components still count: in each cluster the classes
+outside its main component are compared with all of the cluster, in blocks and on
+the full sets. A node that is still large at the last level is a cluster whole. Pairs
+within a component can add no link between components, so the components are those
+of all links.
 
 Defined cases: null and empty texts have an empty set and stand alone; a null id has
 component null and is kept; a row that repeats an id must repeat its text and shares
@@ -25,7 +27,6 @@ from __future__ import annotations
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,17 +36,21 @@ from . import common
 from .components import components
 
 WORDS, SIMILARITY = 5, 80
-#: Independent trees and levels of each. A pair of similarity 0.8 shares a node of level 3 of some
-#: tree but for one in 3 * 10**7 pairs, of level 6 but for one in 10**3.
-TREES, LEVELS = 24, 6
-#: Classes in a node that are compared exhaustively, and members in a block of a larger node.
-LIMIT = 256
-#: Sketches (a byte of each minwise value) that agree in less than this share are not confirmed:
-#: more than five standard deviations below a similarity of 0.8.
-SKETCH_SHARE = 0.62
+#: Independent trees, and minwise tokens on a path of each.
+TREES, LEVELS = 16, 6
+#: Tokens that the nodes of each step have in common: a large node is branched by two or three more.
+#: A pair of similarity 0.8 shares a node of 3 tokens in some tree but for one in 10**5 pairs, of 6
+#: but for one in 100.
+DEPTHS = (1, 3, 6)
+#: Classes in a node that are compared exhaustively, classes in a side of a block, and columns
+#: (shingles) of a block that are counted at once.
+LIMIT, BLOCK, COLUMNS = 512, 256, 8192
+#: Sketches (a byte of each minwise value) that agree in less than this share are no candidates:
+#: about five standard deviations below a similarity of 0.8.
+SKETCH_SHARE = 0.6
 #: Pairs that one copy of a pivot's text is sent for.
 PIVOT_ROWS = 500
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 FACTORS = np.random.default_rng(20240229).integers(1, 1 << 63, TREES * LEVELS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = np.random.default_rng(20240301).integers(1, 1 << 63, TREES * LEVELS, dtype=np.uint64)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -60,6 +65,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: list[bytes], k: int = WORDS) -> list[np.ndarray]:
     """The distinct k-word shingles of each text as sorted 64-bit hashes; A-Z count as lower case."""
+    common.hold("chosen_path", _words.clear)
     split = [t.lower().split() for t in texts]
     missing = set(chain.from_iterable(split)) - _words.keys()
     if len(_words) + len(missing) > CACHE_WORDS:
@@ -115,14 +121,16 @@ def sig_matrix(column: pa.Array) -> np.ndarray:
 
 
 def nodes(classes: DataFrame, level: int) -> DataFrame:
-    """(parent, node, doc_id): the node of each class at a level of each tree, and the one above it."""
+    """(parent, node, doc_id): the node of each class at a step of each tree, and the one above it."""
 
     def run(batches):
         for batch in batches:
             sig = sig_matrix(batch.column("sig"))
             path = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=np.uint64)), sig.shape[:2])
-            for depth in range(level):
-                parent, path = path, mix(path * PRIME + sig[:, :, depth] + np.uint64(depth + 1))
+            for depth in range(DEPTHS[level - 1]):
+                if level > 1 and depth == DEPTHS[level - 2] or not depth:
+                    parent = path
+                path = mix(path * PRIME + sig[:, :, depth] + np.uint64(depth + 1))
             ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), TREES)
             yield pa.RecordBatch.from_arrays([pa.array(x.ravel().view(np.int64)) for x in (np.ascontiguousarray(parent), path)] + [pa.array(ids)], ["parent", "node", "doc_id"])
 
@@ -130,9 +138,9 @@ def nodes(classes: DataFrame, level: int) -> DataFrame:
 
 
 def members(classes: DataFrame) -> DataFrame:
-    """(node, doc_id, n, pivot, level) of every node with two classes or more, down to the level where none is large."""
+    """(node, doc_id, n, pivot, level) of every node with two classes or more, down to the step where none is large."""
     large, out = None, []
-    for level in range(1, LEVELS + 1):
+    for level in range(1, len(DEPTHS) + 1):
         rows = nodes(classes, level)
         if large is not None:
             rows = common.join_small(rows, large, "parent", "left_semi")
@@ -141,7 +149,7 @@ def members(classes: DataFrame) -> DataFrame:
         total = counts.agg(F.sum("n")).first()[0] or 0
         out.append(common.saved(common.join_skewed(rows, counts, ["node"], total).select("node", "doc_id", "n", "pivot", F.lit(level).alias("level"))))
         large = counts.filter(F.col("n") > LIMIT).select(F.col("node").alias("parent"))
-        if not large.head(1):
+        if not common.some(large):
             break
     found = out[0]
     for one in out[1:]:
@@ -164,87 +172,136 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
-def pivot_pairs(found: DataFrame, sketched: DataFrame) -> DataFrame:
-    """(a, b): each class with the pivot that its sketch is nearest to, if near enough."""
-    pairs = common.saved(found.filter("doc_id <> pivot").select("doc_id", "pivot").distinct())
-    pivots = common.saved(pairs.groupBy("pivot").agg(F.count("*").alias("n")).join(sketched.select(F.col("doc_id").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot"))
-    near = common.join_skewed(pairs.join(sketched, "doc_id"), pivots, ["pivot"], pairs.count())
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, two = (np.frombuffer(b"".join(x.as_py() for x in batch.column(c)), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch", "pivot_sketch"))
-            share = agreement(one, two)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("pivot"), pa.array(share)], ["a", "b", "share"]).filter(pa.array(share >= SKETCH_SHARE))
-
-    scored = near.select("doc_id", "pivot", "sketch", "pivot_sketch").mapInArrow(run, "a long, b long, share double")
-    return scored.groupBy("a").agg(F.max_by("b", F.struct("share", -F.col("b"))).alias("b"))
-
-
-def cross_pairs(ids: np.ndarray, labels: np.ndarray, sketch: np.ndarray, asked: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs of different labels whose sketches agree enough; asked: rows of which one must be in a pair."""
-    out = []
-    for i in range(len(ids)) if asked is None else np.flatnonzero(asked):
-        rest = slice(i + 1, None) if asked is None else slice(None)
-        hit = (labels[rest] != labels[i]) & (agreement(sketch[rest], sketch[i]) >= SKETCH_SHARE)
-        out += [(min(ids[i], x), max(ids[i], x)) for x in ids[rest][hit]]
+def forest(sketch: np.ndarray) -> list[tuple[int, int, float]]:
+    """Edges (child, parent, share) of breadth-first trees over rows whose sketches agree enough."""
+    left = np.arange(len(sketch))
+    out, queue = [], []
+    while len(left):
+        if queue:
+            at = queue.pop()
+        else:
+            at, left = left[0], left[1:]
+        share = agreement(sketch[left], sketch[at])
+        near = share >= SKETCH_SHARE
+        out += [(int(x), int(at), float(y)) for x, y in zip(left[near], share[near], strict=True)]
+        queue += left[near].tolist()
+        left = left[~near]
     return out
 
 
-def node_pairs(found: DataFrame, sketched: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): pairs of classes in different components that some node holds and whose sketches agree."""
-    n_labels = labels.count()
-    labelled = common.join_small(found, labels.withColumnRenamed("id", "doc_id"), "doc_id", "left", n_labels).withColumn("label", F.coalesce("label", "doc_id"))
-    mixed = labelled.groupBy("node").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("n_rows")).filter("l1 <> l2").select("node", F.col("n_rows").alias("held"))
-    mixed = common.saved(mixed)
-    total = mixed.agg(F.sum("held")).first()[0] or 0
-    rows = common.join_skewed(labelled, mixed, ["node"], total, "held").select("node", "doc_id", "label", "n", "level")
-    small = rows.filter(F.col("n") <= LIMIT).select("node", F.lit(0).alias("block"), "doc_id", "label", F.lit(False).alias("outside"))
-    large = rows.filter((F.col("n") > LIMIT) & (F.col("level") == LEVELS)).select("node", "doc_id", "label")
-    sizes = common.saved(large.groupBy("node", "label").agg(F.count("*").alias("k")))
-    main = sizes.groupBy("node").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("top"))
-    main = common.saved(main.withColumn("across", F.ceil(F.col("n") / LIMIT).cast("int")).withColumn("down", F.ceil((F.col("n") - F.col("top")) / LIMIT).cast("int")))
-    large = common.join_skewed(large, main, ["node"], main.agg(F.sum("n")).first()[0] or 0).withColumn("outside", F.col("label") != F.col("main"))
-    h = F.xxhash64("doc_id")
-    asked = large.filter("outside").select("*", F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("x")).withColumn("y", F.pmod(h, F.col("down")).cast("int"))
-    every = large.withColumn("outside", F.lit(False)).select("*", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("y")).withColumn("x", F.pmod(h, F.col("across")).cast("int"))
-    columns = ["node", (F.col("x") * F.col("down") + F.col("y") + 1).alias("block"), "doc_id", "label", "outside"]
-    blocks = asked.select(*columns).unionByName(every.select(*columns))
-    dealt = small.unionByName(blocks).join(sketched, "doc_id").repartition("node", "block").sortWithinPartitions("node", "block")
+def candidates(found: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(a, b, share): candidate edges of all nodes, as a written table; share is null where no sketch was compared."""
+    small = found.filter(F.col("n") <= LIMIT).select("node", "doc_id").join(sketched, "doc_id").repartition("node").sortWithinPartitions("node", "doc_id")
 
     def run(batches):
-        held: list[pd.DataFrame] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        last, edges = None, []
 
-        def compared() -> list[tuple[int, int]]:
-            group = pd.concat(held)
-            sketch = np.frombuffer(b"".join(group.sketch), np.uint8).reshape(len(group), -1)
-            outside = group.outside.to_numpy(bool)
-            return cross_pairs(group.doc_id.to_numpy(), group.label.to_numpy(), sketch, outside if group.block.iloc[0] else None)
+        def grown() -> None:
+            ids = np.concatenate([x for x, _ in held])
+            edges.extend((ids[x], ids[y], share) for x, y, share in forest(np.concatenate([x for _, x in held])))
+            held.clear()
 
-        last, pairs = None, []
         for batch in batches:
-            frame = batch.to_pandas()
-            key = frame.node.to_numpy(), frame.block.to_numpy()
-            edges = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 1
-            for start, stop in zip([0, *edges], [*edges, len(frame)], strict=True):
-                if start == stop:
-                    continue
-                now = (key[0][start], key[1][start])
-                if last is not None and now != last:
-                    pairs += compared()
-                    held = []
-                held.append(frame.iloc[start:stop])
-                last = now
-            if len(pairs) > 10_000:
-                yield pair_batch(pairs)
-                pairs = []
+            node, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "doc_id"))
+            sketch = np.frombuffer(b"".join(x.as_py() for x in batch.column("sketch")), np.uint8).reshape(len(ids), -1)
+            cuts = np.flatnonzero(node[1:] != node[:-1]) + 1
+            for start, stop in zip([0, *cuts], [*cuts, len(ids)], strict=True):
+                if start < stop:
+                    if held and node[start] != last:
+                        grown()
+                    held.append((ids[start:stop], sketch[start:stop]))
+                    last = node[start]
+            if len(edges) > 10_000:
+                yield edge_batch(edges)
+                edges.clear()
         if held:
-            pairs += compared()
-        if pairs:
-            yield pair_batch(pairs)
+            grown()
+        if edges:
+            yield edge_batch(edges)
+
+    compared = small.select("node", "doc_id", "sketch").mapInArrow(run, "a long, b long, share double")
+    whole = found.filter((F.col("n") > LIMIT) & (F.col("level") == len(DEPTHS))).filter("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"), F.lit(None).cast("double").alias("share"))
+    return common.saved(compared.unionByName(whole).groupBy("a", "b").agg(F.max("share").alias("share")))
+
+
+def edge_batch(edges: list[tuple]) -> pa.RecordBatch:
+    a, b, share = zip(*edges, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(share, pa.float64())], ["a", "b", "share"])
+
+
+def nearest(edges: DataFrame) -> DataFrame:
+    """(a, b): the best candidate of each class."""
+    return edges.groupBy("a").agg(F.max_by("b", F.struct("share", -F.col("b"))).alias("b"))
+
+
+def linked(sets: list[np.ndarray], labels: np.ndarray, asked: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """One pair of rows, one of them asked, for each two labels that similar sets join."""
+    sizes = np.array([len(x) for x in sets], np.float32)
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
+    shared = times[column] > 1
+    owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int((times > 1).sum()), COLUMNS):
+        here = (column >= low) & (column < low + COLUMNS)
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[here], column[here] - low] = 1
+        both += held @ held.T
+    hit = (both > 0) & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)) & (labels[:, None] != labels[None, :]) & (asked[:, None] | asked[None, :])
+    i, j = np.nonzero(np.triu(hit))
+    _, one = np.unique(np.sort(np.stack([labels[i], labels[j]], axis=1), axis=1), axis=0, return_index=True) if len(i) else (None, [])
+    return [(int(i[k]), int(j[k])) for k in one]
+
+
+def cluster_links(edges: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    """(a, b): links between components within the clusters of candidate edges, on full sets; a written table."""
+    clusters = components(edges).withColumnRenamed("label", "cluster")
+    rows = common.join_small(clusters, labels, "id", "left").select("id", "cluster", F.coalesce("label", "id").alias("label"))
+    sizes = common.saved(rows.groupBy("cluster", "label").agg(F.count("*").alias("k")))
+    mixed = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
+    side = lambda c: F.ceil(c / BLOCK).cast("int")
+    mixed = common.saved(mixed.withColumn("across", side(F.col("n"))).withColumn("down", side(F.col("n") - F.col("top"))))
+    rows = common.join_skewed(rows, mixed, ["cluster"], mixed.agg(F.sum("n")).first()[0] or 0).withColumn("asked", F.col("label") != F.col("main"))
+    h = F.xxhash64("id")
+    x, y = F.pmod(h, F.col("across")).cast("int"), F.pmod(h, F.col("down")).cast("int")
+    # an asked class meets every block of its cluster, and so does each class every block of asked ones
+    asked = rows.filter("asked").select("*", F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("x"), y.alias("y"))
+    every = rows.withColumn("asked", F.lit(False)).select("*", F.explode(F.sequence(F.lit(0), F.col("down") - 1)).alias("y")).select("*", x.alias("x"))
+    dealt = asked.unionByName(every).groupBy("cluster", "x", "y", "id").agg(F.first("label").alias("label"), F.max("asked").alias("asked"))
+    ids = common.saved(rows.select("id"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), common.text_bytes(text).alias("data")).dropna(subset=["id"])
+    texts = common.join_small(texts, ids, "id", "left_semi").dropDuplicates(["id"])
+    blocks = dealt.join(texts, "id").repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
+
+    def make():
+        state: dict = {"key": None, "rows": []}
+
+        def compared() -> list[tuple[int, int]]:
+            own = state["rows"]
+            state["rows"] = []
+            if len(own) < 2:
+                return []
+            ids, labels, asked, sets = zip(*own, strict=True)
+            return [(ids[i], ids[j]) for i, j in linked(list(sets), np.array(labels), np.array(asked, bool), percent)]
+
+        def fn(batch: pa.RecordBatch | None) -> pa.RecordBatch | None:
+            if batch is None:
+                pairs = compared()
+                return pair_batch(pairs) if pairs else None
+            pairs = []
+            keys = zip(*(batch.column(c).to_pylist() for c in ("cluster", "x", "y")), strict=True)
+            sets = shingle_sets([v.as_py() for v in batch.column("data")], k)
+            for key, *row in zip(keys, batch.column("id").to_pylist(), batch.column("label").to_pylist(), batch.column("asked").to_pylist(), sets, strict=True):
+                if key != state["key"]:
+                    pairs += compared()
+                    state["key"] = key
+                state["rows"].append(row)
+            return pair_batch(pairs) if pairs else None
+
+        return fn
 
-    return dealt.select("node", "block", "doc_id", "label", "outside", "sketch").mapInArrow(run, "a long, b long").distinct()
+    return common.saved(common.map_batches(blocks.select("cluster", "x", "y", "id", "label", "asked", "data"), make, "a long, b long", ends=True))
 
 
 def pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -291,12 +348,12 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY,
     same = common.saved(same)
     copies = common.saved(common.join_skewed(named.select("doc_id", "hi", "lo"), same, ["hi", "lo"], named.count()).select("doc_id", "class_id").distinct())
     extra = copies.filter("doc_id <> class_id").select("doc_id")
-    classes = common.join_small(named, extra, "doc_id", "left_anti").dropDuplicates(["doc_id"]) if extra.head(1) else named
-    found, sketched = members(classes), sketches(classes)
-    links = confirmed(common.saved(pivot_pairs(found, sketched)), docs, k, percent, doc_id, text)
+    classes = common.join_small(named, extra, "doc_id", "left_anti").dropDuplicates(["doc_id"]) if common.some(extra) else named
+    edges = candidates(members(classes), sketches(classes))
+    links = confirmed(common.saved(nearest(edges)), docs, k, percent, doc_id, text)
     labels = components(links)
-    more = confirmed(common.saved(node_pairs(found, sketched, labels)), docs, k, percent, doc_id, text)
-    if more.head(1):
+    more = cluster_links(edges, labels, docs, k, percent, doc_id, text)
+    if common.some(more):
         labels = components(common.saved(links.unionByName(more)))
     moved = copies.select("doc_id", "class_id")
     out = common.join_small(signed.select("doc_id", "n_shingles"), moved, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))

@@ -294,7 +294,7 @@ def part_spans(found: DataFrame, length: int = LENGTH) -> DataFrame:
     got = common.saved(fetched(wanted, sources, names).drop("at"))
     large = F.broadcast(anchors.filter(F.col("size") > BATCH_BYTES).select("anchor")) if anchors.filter(F.col("size") > BATCH_BYTES).count() <= common.BROADCAST_ROWS else anchors.filter(F.col("size") > BATCH_BYTES).select("anchor")
     spans = expanded(got.join(large, "anchor", "left_anti"), length)
-    if anchors.filter(F.col("size") > BATCH_BYTES).head(1):
+    if common.some(anchors.filter(F.col("size") > BATCH_BYTES)):
         spans = spans.unionByName(counted(got.join(large, "anchor", "left_semi"), length))
     hits = whole(kinds, length)
     hits = common.saved(hits.unionByName(kinds.filter("times = 1").select(*KEY, "n").join(spans, KEY)))
