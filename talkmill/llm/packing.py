@@ -32,7 +32,7 @@ END_ID = 1
 #: Pieces in a salt of a class, and the most salts that a class is split into for ranking.
 SALT_ROWS, MAX_SALTS = 5_000, 4_096
 #: Chunks that a Python worker keeps tokenised.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 600_000
 #: Pre-tokens in a line that the library encodes at once.
 LINE = 200
 #: Column generation ends within this share of the bound, or after so many columns.
@@ -63,6 +63,7 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text, without special tokens."""
+        common.hold("packing", self.clear)
         out: list[bytes] = [b""] * len(texts)
         latin, other = [], []
         for i, text in enumerate(texts):
@@ -75,6 +76,10 @@ class Tokens:
             out[i] = ids
         return out
 
+    def clear(self) -> None:
+        self.words.clear()
+        self.chunks.clear()
+
     def _joined(self, split: list[list[str]], cache: dict[str, bytes], encode) -> list[bytes]:
         missing = list(set(chain.from_iterable(split)) - cache.keys())
         if len(cache) + len(missing) > CACHE_CHUNKS:

@@ -190,8 +190,13 @@ class Model:
             end -= len(piece)
         return array("I", found[::-1]).tobytes()
 
+    def clear(self) -> None:
+        self.cache.clear()
+        self.pairs.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32."""
+        common.hold("sentence_pieces", self.clear)
         split = [SPLIT.findall((self.prefix + t).replace(" ", MARK)) if t else [] for t in texts]
         cache = self.cache
         missing = sorted(set(chain.from_iterable(split)) - cache.keys())
