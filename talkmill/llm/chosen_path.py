@@ -230,6 +230,18 @@ def edge_batch(edges: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(share, pa.float64())], ["a", "b", "share"])
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """(a, b): edges with the same components, one for each class and one for each two parents of a class.
+
+    A class's parents are linked to the least of them instead of to the class; many
+    classes have the same parents, so few links are left. A class has a parent in
+    each of its nodes at most.
+    """
+    own = edges.groupBy("a").agg(F.min("b").alias("b"), F.collect_set("b").alias("parents"))
+    parents = own.select(F.explode("parents").alias("a"), "b").filter("a <> b").distinct()
+    return common.saved(own.select("a", "b").unionByName(parents))
+
+
 def nearest(edges: DataFrame) -> DataFrame:
     """(a, b): the best candidate of each class."""
     return edges.groupBy("a").agg(F.max_by("b", F.struct("share", -F.col("b"))).alias("b"))
@@ -256,7 +268,7 @@ def linked(sets: list[np.ndarray], labels: np.ndarray, asked: np.ndarray, percen
 
 def cluster_links(edges: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """(a, b): links between components within the clusters of candidate edges, on full sets; a written table."""
-    clusters = components(edges).withColumnRenamed("label", "cluster")
+    clusters = components(contracted(edges)).withColumnRenamed("label", "cluster")
     rows = common.join_small(clusters, labels, "id", "left").select("id", "cluster", F.coalesce("label", "id").alias("label"))
     sizes = common.saved(rows.groupBy("cluster", "label").agg(F.count("*").alias("k")))
     mixed = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
