@@ -53,10 +53,10 @@ ARTIFACTS = [a for s in stages.STAGES for a, _ in s.outputs] + ["camera"]
 
 
 def artifacts(spark, d) -> DataFrame:
-    """A row for each artifact of each hundredth order: rec, artifact and probe values."""
+    """A row for each artifact of each order: rec, artifact and probe values."""
     names = F.array(*map(F.lit, ARTIFACTS))
-    rows = views.table(spark, d, "orders").filter("o_orderkey % 100 = 0").select(F.col("o_orderkey").alias("rec"), "o_totalprice", F.posexplode(names).alias("i", "artifact"))
-    h = F.col("rec") / 100 * 7 + F.col("i") * 13
+    rows = views.table(spark, d, "orders").select(F.col("o_orderkey").alias("rec"), "o_totalprice", F.posexplode(names).alias("i", "artifact"))
+    h = F.floor(F.col("rec") / 100) * 7 + F.col("i") * 13
     size = (F.col("o_totalprice") * (F.col("i") + 1)).cast("long")
     return rows.select("rec", "artifact", (F.pmod(h, F.lit(4)) != 0).alias("path_exists"), F.when(F.pmod(h, F.lit(9)) != 0, size).alias("size"), (F.floor(F.col("o_totalprice") / 3000) + F.pmod(h, F.lit(5))).cast("double").alias("duration"), F.lit(True).alias("has_video"), (F.pmod(h, F.lit(3)) != 0).alias("has_audio"), F.lit(None).cast("long").alias("n_frames"))
 
