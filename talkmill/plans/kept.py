@@ -193,10 +193,8 @@ def mute_gain(spark, d) -> DataFrame:
 
 @query()
 def card_layout(spark, d) -> DataFrame:
-    """Type size, lines and the over-budget flag of each turn's first characters."""
-    text = F.substring("text", 1, 400)
-    size = fn.fitted_size(text, 1680, 389)
-    rows = views.segments(spark, d).select("rec", "pos", text.alias("text"), size.alias("size"))
+    """Type size, lines and the over-budget flag of each turn's text."""
+    rows = views.segments(spark, d).select("rec", "pos", "text", fn.fitted_size(F.col("text"), 1680, 389).alias("size"))
     return rows.select("rec", "pos", "size", fn.wrapped(F.col("text"), (F.lit(1680) / (F.col("size") * 0.5)).cast("int")).alias("lines"), (F.length("text") > 160).alias("over_budget"))
 
 
