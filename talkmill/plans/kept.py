@@ -257,11 +257,11 @@ ASSET = """SELECT o_orderkey AS n, printf('s/%d', o_orderkey) AS session FROM or
 def assets(spark, d) -> DataFrame:
     """Session assets made of orders; half of them nested, streams of both types, some without a URL."""
     key = F.col("o_orderkey")
-    base = views.table(spark, d, "orders").filter("o_orderkey % 10 = 0")
-    url = lambda i: F.when(F.pmod(key / 10, F.lit(3)) != i, F.concat(F.lit("u"), key.cast("string"), F.lit(f"-{i}")))
+    base, turn = views.table(spark, d, "orders"), F.floor(key / 10)
+    url = lambda i: F.when(F.pmod(turn, F.lit(3)) != i, F.concat(F.lit("u"), key.cast("string"), F.lit(f"-{i}")))
     stream = lambda i: F.struct(url(i).alias("StreamUrl"), F.lit(1 if i == 0 else i + 1).alias("StreamType"), F.lit("hls" if i == 1 else "mp4").alias("ViewerMediaFileTypeName"))
     inner = [F.concat(F.lit("name "), key.cast("string")).alias("SessionName"), (F.col("o_totalprice") / 10).alias("Duration"), F.lit("owner").alias("OwnerDisplayName"), F.lit("2024-01-01").alias("SessionStartTime"), F.array(F.lit("c1"), F.lit("c2")).alias("Timestamps"), F.array(stream(0), stream(1), stream(2)).alias("Streams")]
-    nested = F.pmod(key / 10, F.lit(2)) == 0
+    nested = F.pmod(turn, F.lit(2)) == 0
     types = dict(f.split(" ", 1) for f in ("SessionName string", "Duration double", "OwnerDisplayName string", "SessionStartTime string", "Timestamps array<string>", f"Streams array<{rd.STREAM}>"))
     rows = base.select(F.concat(F.lit("s/"), key.cast("string")).alias("SessionId"), nested.alias("nested"), F.struct(*inner).cast(rd.DELIVERY).alias("all"))
     return rows.select("SessionId", F.when(F.col("nested"), F.col("all")).alias("Delivery"), *[F.when(~F.col("nested"), F.col(f"all.{k}").cast(t)).alias(k) for k, t in types.items()])

@@ -15,6 +15,8 @@ CUTS = {
     "stage_verdicts": " WHERE o_orderkey % 100 = 0",
     "best_artifact": " WHERE o_orderkey % 100 = 0",
     "publish_guard": " WHERE o_orderkey % 100 = 0",
+    "manifest_metadata": " WHERE o_orderkey % 10 = 0",
+    "manifest_streams": " WHERE o_orderkey % 10 = 0",
 }
 
 
