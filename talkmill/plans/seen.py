@@ -118,7 +118,7 @@ RECORDINGS = "recordings AS (SELECT o_orderkey AS rec, CAST(o_orderkey % 7 * 10
 def recordings(spark, d) -> DataFrame:
     key = F.col("o_orderkey")
     start = F.pmod(key, F.lit(7)) * 10
-    return views.table(spark, d, "orders").filter("o_orderkey % 50 = 0").select(key.alias("rec"), start.alias("start_frame"), F.rint(start + F.col("o_totalprice") / 50).cast("long").alias("end_frame"), F.lit(25.0).alias("fps"))
+    return views.table(spark, d, "orders").select(key.alias("rec"), start.alias("start_frame"), F.rint(start + F.col("o_totalprice") / 50).cast("long").alias("end_frame"), F.lit(25.0).alias("fps"))
 
 
 def spaced_sql(first: str, last: str, n: str) -> str:

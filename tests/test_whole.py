@@ -17,6 +17,9 @@ CUTS = {
     "publish_guard": " WHERE o_orderkey % 100 = 0",
     "manifest_metadata": " WHERE o_orderkey % 10 = 0",
     "manifest_streams": " WHERE o_orderkey % 10 = 0",
+    "sample_frames": " WHERE o_orderkey % 50 = 0",
+    "chunk_bounds": " WHERE o_orderkey % 50 = 0",
+    "cost_model": " WHERE o_orderkey % 20 = 0",
 }
 
 
