@@ -155,7 +155,7 @@ def black_runs(spark, d) -> DataFrame:
     """Log lines made of events and read again."""
     number = lambda c: F.regexp_replace(F.format_number(c, 2), ",", "")
     line = F.concat(F.lit("[blackdetect @ 0x1] black_start:"), number(F.col("value")), F.lit(" black_end:"), number(F.col("value") + F.pmod("event_id", F.lit(10))), F.lit(" black_duration:1"))
-    logs = views.table(spark, d, "events").filter("event_id % 3 = 0").select(F.col("user_id").alias("rec"), line.alias("value"))
+    logs = views.table(spark, d, "events").select(F.col("user_id").alias("rec"), line.alias("value"))
     return med.black_runs(logs, "rec").select("rec", F.round("start", 2).alias("start"), F.round("end", 2).alias("end"))
 
 
@@ -186,7 +186,7 @@ SELECT rec, pos, s AS sample, round(CASE WHEN s < a OR s >= b THEN 1.0 WHEN b -
 def mute_gain(spark, d) -> DataFrame:
     """The gain around each muted span."""
     a = (F.col("value") * 100).cast("long")
-    spans = views.table(spark, d, "events").filter("event_id % 5 = 0").select(F.col("user_id").alias("rec"), F.col("event_id").alias("pos"), a.alias("a"), (a + (F.col("value") * 10).cast("long")).alias("b"))
+    spans = views.table(spark, d, "events").select(F.col("user_id").alias("rec"), F.col("event_id").alias("pos"), a.alias("a"), (a + (F.col("value") * 10).cast("long")).alias("b"))
     samples = spans.select("*", F.explode(F.sequence(F.col("a") - 480, F.col("b") + 479, F.lit(240))).alias("sample"))
     return samples.select("rec", "pos", "sample", F.round(fn.mute_gain(F.col("sample"), F.col("a"), F.col("b")), 6).alias("gain"))
 

@@ -152,7 +152,7 @@ IOU = """CASE WHEN least(a.x2, b.x2) > greatest(a.x1, b.x1) AND least(a.y2, b.y2
 FROM boxes a JOIN boxes b ON b.rec = a.rec AND b.frame = a.frame + 4 WHERE a.score > 0.05 AND b.score > 0.05""")
 def iou_pairs(spark, d) -> DataFrame:
     """F4 over boxes of consecutive samples (J7's candidates)."""
-    seen = views.boxes(spark, d).filter("score > 0.05")
+    seen = views.boxes(spark, d)
     one = seen.select("rec", "frame", F.col("det_pos").alias("a_pos"), *[F.col(c).alias(f"a_{c}") for c in trk.BOX])
     two = seen.select("rec", (F.col("frame") - EVERY).alias("frame"), F.col("det_pos").alias("b_pos"), *[F.col(c).alias(f"b_{c}") for c in trk.BOX])
     return one.join(two, ["rec", "frame"]).select("rec", "frame", "a_pos", "b_pos", F.round(fn.iou("a_", "b_"), 6).alias("iou"))

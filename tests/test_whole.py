@@ -20,6 +20,9 @@ CUTS = {
     "sample_frames": " WHERE o_orderkey % 50 = 0",
     "chunk_bounds": " WHERE o_orderkey % 50 = 0",
     "cost_model": " WHERE o_orderkey % 20 = 0",
+    "black_runs": " WHERE event_id % 3 = 0",
+    "mute_gain": " WHERE event_id % 5 = 0",
+    "iou_pairs": " WHERE a.score > 0.05 AND b.score > 0.05",
 }
 
 
