@@ -4,9 +4,11 @@ A line's key is the 128-bit hash of its stripped, A-Z lower-cased bytes. The exa
 table is a log of (key, document, +1 or -1) rows, one generation for each insertion
 or deletion; a key's reference count is the number of its live documents and its
 owner the smallest of them. Each shard of keys has a cuckoo filter over its live
-keys: an insertion asks the filters first and looks up in the log only what they
-may hold, and a deletion takes out the fingerprints of keys whose count falls to 0,
-so deleting a batch restores what was before it.
+keys. An insertion asks it slice by slice: a key that it does not hold is put in, and
+one that it may hold is noted, as is one that a slice has from several documents. Only
+noted keys can be in two documents, and only they are counted in the log. A deletion
+takes out the fingerprints of keys whose count falls to 0, so deleting a batch restores
+what was before it.
 
 A key in many documents is counted map-side. Where keys meet their documents again,
 the keys that hold a large share of all rows (a bounded number) are broadcast and
@@ -35,6 +37,8 @@ MIN_CHARS = 10
 SPACE = b" \t\n\x0b\x0c\r"
 #: Keys that a shard is sized for, and slots in a bucket of its filter.
 SHARD_KEYS, SLOTS = 50_000, 4
+#: Rows of the log that a task counts at once, and rows that ask a filter at once.
+TASK_ROWS, ASK_ROWS = 500_000, 8192
 NULL_ID = (1 << 63) - 1
 KEY = ["hi", "lo"]
 
@@ -141,6 +145,38 @@ def line_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_c
     return common.map_batches(rows, make, "hi long, lo long, doc_id long")
 
 
+def grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row, sum of weights) of each distinct row of keys."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    ranked = keys[order]
+    first = np.ones(len(order), bool)
+    first[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    starts = np.flatnonzero(first)
+    return order[starts], np.add.reduceat(weights[order], starts) if len(order) else weights
+
+
+def collapsed(rows: DataFrame) -> DataFrame:
+    """(hi, lo, n): a row for each key and slice of a task, with the slice's rows of the key."""
+
+    def run(batches):
+        held: list[np.ndarray] = []
+
+        def counted() -> pa.RecordBatch:
+            keys = np.concatenate(held)
+            held.clear()
+            at, n = grouped(keys, np.ones(len(keys), np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(keys[at, 0]), pa.array(keys[at, 1]), pa.array(n)], [*KEY, "n"])
+
+        for batch in batches:
+            held.append(np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in KEY], axis=1))
+            if sum(map(len, held)) > TASK_ROWS:
+                yield counted()
+        if held:
+            yield counted()
+
+    return rows.select(*KEY).mapInArrow(run, "hi long, lo long, n long")
+
+
 class LineIndex:
     """The log of references and the filters, under a folder that all executors share."""
 
@@ -148,6 +184,7 @@ class LineIndex:
         self.spark, self.path, self.shards, self.min_chars = spark, path or common.scratch(spark), shards, min_chars
         self.generations: list[str] = []
         self.filters: DataFrame | None = None
+        self.noted: DataFrame | None = None
         self.deleted = False
 
     def log(self) -> DataFrame:
@@ -174,16 +211,17 @@ class LineIndex:
 
     def insert(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> None:
         """Adds the documents' lines."""
-        before = list(self.generations)
-        keys = self._append(line_keys(docs, doc_id, text, self.min_chars), 1).select(*KEY).distinct()
+        before = self.live().select(*KEY).distinct() if self.generations else None
+        rows = self._append(line_keys(docs, doc_id, text, self.min_chars), 1)
         if self.shards is None:
-            self.shards = max(1, self.spark.read.parquet(self.generations[-1]).count() // SHARD_KEYS + 1)
-        if self.filters is not None:
-            asked = common.saved(self._probe(keys))
-            maybe = asked.filter("seen").select(*KEY)
-            old = self.spark.read.parquet(*before).select(*KEY).distinct()  # the exact answer for what the filters may hold
-            keys = asked.filter("not seen").select(*KEY).unionByName(maybe.join(old.hint("merge"), KEY, "left_anti"))
-        self._change(keys, "insert")
+            self.shards = max(1, rows.count() // SHARD_KEYS + 1)
+        asked = self._ask(collapsed(rows))
+        own = asked.select(F.inline(F.arrays_zip(*KEY, "n")))
+        self.noted = own if self.noted is None else self.noted.unionByName(own)
+        unknown = asked.filter("not full").select(F.inline(F.arrays_zip(F.col("new_hi").alias("hi"), F.col("new_lo").alias("lo"))))
+        self.filters = self._rebuilt(asked.select("shard", "blob", "full"))
+        if before is not None:  # the exact answer for what the filters may hold: keys that do not stand are put in
+            self._change(unknown.join(before.hint("merge"), KEY, "left_anti"), "insert")
 
     def delete(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> None:
         """Takes the documents' references back; they must have been inserted with the same texts."""
@@ -191,15 +229,36 @@ class LineIndex:
         self.deleted = True
         self._change(gone.join(self.live().select(*KEY).distinct(), KEY, "left_anti"), "remove")
 
-    def _probe(self, keys: DataFrame) -> DataFrame:
-        def run(key, some: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            if not len(some):
-                return some.assign(seen=[])[[*KEY, "seen"]]
-            seen = CuckooFilter.load(held.blob[0]).contains(some.lo.to_numpy()) if len(held) else np.zeros(len(some), bool)
-            return some.assign(seen=seen)[[*KEY, "seen"]]
+    def _ask(self, keys: DataFrame) -> DataFrame:
+        """(shard, blob, full, hi, lo, n, new_hi, new_lo), written: new filters, noted keys, and those of them whose place in the filter is in doubt."""
 
-        sharded = keys.withColumn("shard", self._shard()).groupBy("shard")
-        return sharded.cogroup(self.filters.groupBy("shard")).applyInPandas(run, "hi long, lo long, seen boolean")
+        def run(key, some: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+            rows, n, full = some[KEY].to_numpy(np.int64), some.n.to_numpy(np.int64), False
+            own = CuckooFilter.load(held.blob[0]) if len(held) else CuckooFilter(2 * min(len(rows), SHARD_KEYS))
+            added, noted, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for start in range(0, len(rows), ASK_ROWS):
+                at, count = grouped(rows[start : start + ASK_ROWS], n[start : start + ASK_ROWS])
+                at = at + start
+                seen = own.contains(rows[at, 1]) | full  # a full filter has lost keys: whatever comes after is noted
+                full = not own.insert(rows[at[~seen], 1]) or full
+                added.append(at[~seen])
+                noted.append(at[seen | (count > 1)])
+                times.append(count[seen | (count > 1)])
+            put, asked = np.concatenate(added), np.concatenate(noted)
+            at, count = grouped(rows[asked], np.concatenate(times))
+            kept = rows[asked[at]]
+            both = np.concatenate([put, asked])
+            at, known = grouped(rows[both], (np.arange(len(both)) < len(put)).astype(np.int64))
+            doubt = rows[both[at[known == 0]]]
+            if not len(held):  # nothing stood before: all of it is new
+                full, doubt = not own.insert(doubt[:, 1]) or full, doubt[:0]
+            return pd.DataFrame({"shard": [key[0]], "blob": [own.dump()], "full": [full], "hi": [kept[:, 0]], "lo": [kept[:, 1]], "n": [count], "new_hi": [doubt[:, 0]], "new_lo": [doubt[:, 1]]})
+
+        out = keys.withColumn("shard", self._shard()).groupBy("shard").cogroup(self._held().groupBy("shard"))
+        return common.saved(out.applyInPandas(run, "shard int, blob binary, full boolean, hi array<long>, lo array<long>, n array<long>, new_hi array<long>, new_lo array<long>"))
+
+    def _held(self) -> DataFrame:
+        return self.filters if self.filters is not None else self.spark.createDataFrame([], "shard int, blob binary")
 
     def _change(self, keys: DataFrame, what: str) -> None:
         """New filters after keys were inserted or removed; a shard that is full is built again with room."""
@@ -213,8 +272,11 @@ class LineIndex:
                 own.remove(lo)
             return pd.DataFrame({"shard": [key[0]], "blob": [own.dump()], "full": [full]})
 
-        held = self.filters if self.filters is not None else self.spark.createDataFrame([], "shard int, blob binary")
-        out = common.saved(keys.withColumn("shard", self._shard()).groupBy("shard").cogroup(held.groupBy("shard")).applyInPandas(run, "shard int, blob binary, full boolean"))
+        out = keys.withColumn("shard", self._shard()).groupBy("shard").cogroup(self._held().groupBy("shard"))
+        self.filters = self._rebuilt(common.saved(out.applyInPandas(run, "shard int, blob binary, full boolean")))
+
+    def _rebuilt(self, out: DataFrame) -> DataFrame:
+        """The filters of a written table, those that are full built again."""
         full = out.filter("full").select("shard")
         if full.head(1):
             grown = self.live().select(*KEY).distinct().withColumn("shard", self._shard()).join(full, "shard")
@@ -226,12 +288,15 @@ class LineIndex:
                 return pd.DataFrame({"shard": [key[0]], "blob": [own.dump()], "full": [False]})
 
             out = common.saved(out.filter("not full").unionByName(grown.groupBy("shard").applyInPandas(build, out.schema)))
-        self.filters = out.drop("full")
+        return out.drop("full")
 
     def drops(self) -> DataFrame:
         """(doc_id, keys array<struct<hi, lo>>): what each document loses because a smaller one holds it."""
-        shared = common.saved(self.counts().filter("owner < last").select("hi", "lo", "n", "owner"))
-        lost = common.join_skewed(self.live(), shared, KEY, self.log().count()).filter("doc_id <> owner")
+        total = self.log().count()
+        noted = common.saved(self.noted.groupBy(*KEY).agg(F.sum("n").alias("n")))
+        live = common.saved(common.join_skewed(self.live(), noted, KEY, total).drop("n"))
+        shared = live.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last")
+        lost = common.join_skewed(live, common.saved(shared.drop("last")), KEY, total).filter("doc_id <> owner")
         return lost.groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("keys"))
 
     def _kept(self, docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -83,6 +83,39 @@ def test_line_index_is_reversible(spark):
     assert held == {k: np.sort(np.frombuffer(v, np.uint16)).tolist() for k, v in before[1].items()}
 
 
+def test_filters_name_the_lines_that_are_counted(spark, monkeypatch):
+    """Small slices send every key through the filters; what they do not note is not dropped."""
+    monkeypatch.setattr(line_index, "ASK_ROWS", 2)
+    monkeypatch.setattr(line_index, "TASK_ROWS", 2)
+    docs = {d: "\n".join([f"a line of document {d}", f"a line of some {d % 5}", "a line of all of them"]) for d in range(30)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    index = line_index.LineIndex(spark)
+    index.insert(df)
+    assert {r.doc_id: r.text for r in index.dedup(df).collect()} == brute.line_dedup(docs)
+    keys = lambda x: {tuple(r) for r in x.select("hi", "lo").collect()}
+    assert keys(index.counts().filter("n > 1")) <= keys(index.noted) and len(keys(index.noted)) < len(keys(index.counts()))
+    index.noted = index.noted.limit(0)
+    assert {r.doc_id: r.text for r in index.dedup(df).collect()} == docs
+
+
+def test_a_deleted_line_comes_back_on_a_false_positive(spark, monkeypatch):
+    """A filter that takes all keys for held ones: the log must tell that the key does not stand."""
+    frame = lambda d, text: spark.createDataFrame([(d, text)], "doc_id long, text string")
+    index = line_index.LineIndex(spark)
+    index.insert(frame(1, "a line that stays here"))
+    index.insert(frame(2, "a line that comes and goes"))
+    held = lambda: [int((np.frombuffer(r.blob, np.uint16) > 0).sum()) for r in index.filters.collect()]
+    index.delete(frame(2, "a line that comes and goes"))
+    assert held() == [1]
+    (key,) = line_index.line_keys(frame(2, "a line that comes and goes")).collect()
+    own = line_index.CuckooFilter.load(index.filters.first().blob)
+    print_, at = own.places(np.array([key.lo]))
+    own.table[at[0], -1] = print_[0]  # another key's fingerprint, equal to that of this one
+    index.filters = spark.createDataFrame([(0, own.dump())], "shard int, blob binary")
+    index.insert(frame(3, "a line that comes and goes"))
+    assert held() == [3]
+
+
 def test_cuckoo_filter():
     keys = np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 5000)
     own = line_index.CuckooFilter(5000)
