@@ -64,11 +64,11 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/talkmill-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, path: str | None = None) -> DataFrame:
-    """df written as a table in the shared folder and read again: its lineage ends there."""
+def saved(df: DataFrame, path: str | None = None, **options) -> DataFrame:
+    """df written as a table in the shared folder and read again: its lineage ends there. options are the writer's."""
     spark = df.sparkSession
     path = path or scratch(spark)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

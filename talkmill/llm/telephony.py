@@ -130,7 +130,13 @@ def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tag: int
 
         return fn
 
-    return common.saved(common.map_batches(rows, make, "doc_id long, n_bytes long, media binary"), path)
+    return common.saved(common.map_batches(rows, make, "doc_id long, n_bytes long, media binary"), path, compression="zstd")
+
+
+def decoded(media: bytes, rate: int = TARGET_RATE) -> bytes:
+    """Little-endian 16-bit samples of a WAV file at the given rate."""
+    tag, source, block, data = parsed(media)
+    return resample(expanded(tag, data, block), source, rate).astype("<i2").tobytes()
 
 
 def to_pcm(media: DataFrame, rate: int = TARGET_RATE) -> DataFrame:
@@ -138,10 +144,7 @@ def to_pcm(media: DataFrame, rate: int = TARGET_RATE) -> DataFrame:
 
     def make():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
-            for x in batch.column("media"):
-                tag, source, block, data = parsed(x.as_py())
-                out.append(resample(expanded(tag, data, block), source, rate).astype("<i2").tobytes())
+            out = [decoded(x.as_py(), rate) for x in batch.column("media")]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "pcm"])
 
         return fn
@@ -154,8 +157,35 @@ def energy(pcm: np.ndarray) -> int:
     return int((x * x).sum()) // max(1, len(x))
 
 
-def features(media: DataFrame) -> DataFrame:
-    """Digests and features of each media value, from the bytes read back.
+DIGESTS = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string()}
+DIGESTS_SQL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
+
+
+def store_pcm(media: DataFrame, path: str | None = None) -> DataFrame:
+    """Digests of each media value, the energies of its payload as other codes, and its resampled PCM, written to the shared folder and read from there."""
+
+    def make():
+        def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+            stored = [x.as_py() for x in batch.column("media")]
+            data = [parsed(m)[3] for m in stored]
+            sizes = np.array([len(d) // BLOCK for d in data])
+            blocks = adpcm(np.frombuffer(b"".join(data), np.uint8)).astype(np.int64)
+            sums = np.add.reduceat((blocks * blocks).sum(axis=1), np.cumsum(sizes) - sizes)
+            rows = []
+            for m, payload, n, total in zip(stored, data, sizes, sums, strict=True):
+                others = f"alaw:{energy(expanded(ALAW, payload))};adpcm:{int(total) // (int(n) * blocks.shape[1])}"
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), others, decoded(m)))
+            kinds = DIGESTS | {"others": pa.string(), "pcm": pa.binary()}
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], ["doc_id", "n_bytes", *kinds])
+
+        return fn
+
+    return common.saved(common.map_batches(media.select("doc_id", "n_bytes", "media"), make, f"{DIGESTS_SQL}, others string, pcm binary", "media"), path, compression="zstd")
+
+
+def features(media: DataFrame, path: str | None = None) -> DataFrame:
+    """Digests and features of each media value, those of the PCM from the bytes stored and read back.
 
     The feature names the resampled PCM's length, CRC, energy, peak and sign changes,
     then the payload's energy as A-law and as ADPCM blocks.
@@ -163,22 +193,15 @@ def features(media: DataFrame) -> DataFrame:
 
     def make():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            stored = [x.as_py() for x in batch.column("media")]
-            data = [parsed(m) for m in stored]
-            sizes = np.array([len(d[3]) // BLOCK for d in data])
-            blocks = adpcm(np.frombuffer(b"".join(d[3] for d in data), np.uint8)).astype(np.int64)
-            sums = np.add.reduceat((blocks * blocks).sum(axis=1), np.cumsum(sizes) - sizes)
             rows = []
-            for m, (tag, rate, block, payload), n, total in zip(stored, data, sizes, sums, strict=True):
-                pcm = resample(expanded(tag, payload, block), rate)
+            for x, others in zip(batch.column("pcm"), batch.column("others").to_pylist(), strict=True):
+                stored = x.as_py()
+                pcm = np.frombuffer(stored, "<i2")
                 peak, flips = int(np.abs(pcm.astype(np.int32)).max()), int((np.diff(np.signbit(pcm)) != 0).sum())
-                feature = f"pcm:{len(pcm)}:{zlib.crc32(pcm.astype('<i2').tobytes()):08x};energy:{energy(pcm)};peak:{peak};flips:{flips};alaw:{energy(expanded(ALAW, payload))};adpcm:{int(total) // (int(n) * blocks.shape[1])}"
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), feature))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]
-            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], ["doc_id", "n_bytes", *names])
+                rows.append(f"pcm:{len(pcm)}:{zlib.crc32(stored):08x};energy:{energy(pcm)};peak:{peak};flips:{flips};{others}")
+            names = ["doc_id", "n_bytes", *DIGESTS]
+            return pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(rows, pa.string())], [*names, "feature"])
 
         return fn
 
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return common.map_batches(media.select("doc_id", "n_bytes", "media"), make, schema, "media")
+    return common.map_batches(store_pcm(media, path), make, f"{DIGESTS_SQL}, feature string", "pcm")

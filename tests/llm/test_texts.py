@@ -217,3 +217,14 @@ def test_media_round_trip(spark):
     assert got[1].feature == got[5].feature and got[1].media_sha256 == got[5].media_sha256
     assert {r.doc_id: len(r.pcm) for r in telephony.to_pcm(stored).collect()}[1] == 64 * 2 * 2
     assert telephony.features(telephony.store(df.limit(0))).count() == 0
+
+
+def test_pcm_is_stored(spark, tmp_path):
+    df = spark.createDataFrame([(1, "hello"), (2, None), (3, "é" * 640)], "doc_id long, text string")
+    media = telephony.store(df)
+    got = {r.doc_id: r.feature for r in telephony.features(media, str(tmp_path / "pcm")).collect()}
+    held = {r.doc_id: bytes(r.pcm) for r in spark.read.parquet(str(tmp_path / "pcm")).collect()}
+    assert held == {r.doc_id: bytes(r.pcm) for r in telephony.to_pcm(media).collect()}
+    import zlib
+
+    assert all(got[d].startswith(f"pcm:{len(x) // 2}:{zlib.crc32(x):08x};") for d, x in held.items())
