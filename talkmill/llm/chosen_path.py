@@ -38,16 +38,18 @@ from .components import components
 WORDS, SIMILARITY = 5, 80
 #: Independent trees, and minwise tokens on a path of each.
 TREES, LEVELS = 16, 6
-#: Tokens that the nodes of each step have in common: a large node is branched by two or three more.
-#: A pair of similarity 0.8 shares a node of 3 tokens in some tree but for one in 10**5 pairs, of 6
-#: but for one in 100.
-DEPTHS = (1, 3, 6)
+#: Tokens that the nodes of each step have in common: a large node is branched by one or two more.
+#: A pair of similarity 0.8 shares a node of 3 tokens in some tree but for one in 10**5 pairs, of 4
+#: but for 2 in 10**4, of 5 but for 2 in 1000 and of 6 but for 8 in 1000.
+DEPTHS = (1, 3, 4, 5, 6)
+#: Share of pairs that may have no node in common at the last step; thresholds below that are refused.
+MISSED = 0.01
 #: Classes in a node that are compared exhaustively, classes in a side of a block, and columns
 #: (shingles) of a block that are counted at once.
 LIMIT, BLOCK, COLUMNS = 512, 256, 8192
-#: Sketches (a byte of each minwise value) that agree in less than this share are no candidates:
-#: about five standard deviations below a similarity of 0.8.
-SKETCH_SHARE = 0.6
+#: Sketches (a byte of each minwise value) that agree in so many standard deviations less than the
+#: threshold are no candidates.
+SKETCH_DEVIATIONS = 5
 #: Pairs that one copy of a pivot's text is sent for.
 PIVOT_ROWS = 500
 CACHE_WORDS = 250_000
@@ -172,7 +174,18 @@ def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
-def forest(sketch: np.ndarray) -> list[tuple[int, int, float]]:
+def sketch_share(percent: int) -> float:
+    """The least agreement of sketches of candidates."""
+    s = percent / 100
+    return s - SKETCH_DEVIATIONS * (s * (1 - s) / (TREES * LEVELS)) ** 0.5
+
+
+def missed(percent: int) -> float:
+    """The share of pairs at the threshold that have no node of the last step in common."""
+    return (1 - (percent / 100) ** DEPTHS[-1]) ** TREES
+
+
+def forest(sketch: np.ndarray, least: float) -> list[tuple[int, int, float]]:
     """Edges (child, parent, share) of breadth-first trees over rows whose sketches agree enough."""
     left = np.arange(len(sketch))
     out, queue = [], []
@@ -182,24 +195,26 @@ def forest(sketch: np.ndarray) -> list[tuple[int, int, float]]:
         else:
             at, left = left[0], left[1:]
         share = agreement(sketch[left], sketch[at])
-        near = share >= SKETCH_SHARE
+        near = share >= least
         out += [(int(x), int(at), float(y)) for x, y in zip(left[near], share[near], strict=True)]
         queue += left[near].tolist()
         left = left[~near]
     return out
 
 
-def candidates(found: DataFrame, sketched: DataFrame) -> DataFrame:
+def candidates(found: DataFrame, sketched: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """(a, b, share): candidate edges of all nodes, as a written table; share is null where no sketch was compared."""
     small = found.filter(F.col("n") <= LIMIT).select("node", "doc_id").join(sketched, "doc_id").repartition("node").sortWithinPartitions("node", "doc_id")
 
+    least = sketch_share(percent)
+
     def run(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
         last, edges = None, []
 
         def grown() -> None:
             ids = np.concatenate([x for x, _ in held])
-            edges.extend((ids[x], ids[y], share) for x, y, share in forest(np.concatenate([x for _, x in held])))
+            edges.extend((ids[x], ids[y], share) for x, y, share in forest(np.concatenate([x for _, x in held]), least))
             held.clear()
 
         for batch in batches:
@@ -353,7 +368,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: s
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) of each document."""
+    """(doc_id, n_shingles, class_id, component_id) of each document; a threshold that the trees do not cover is an error."""
+    if not 0 < percent <= 100 or missed(percent) > MISSED:
+        raise ValueError(f"similarity of {percent} %: the trees are made for 80 and more")
     signed = common.saved(signatures(docs, k, doc_id, text))
     named = signed.filter("n_shingles > 0 and doc_id is not null")
     same = named.groupBy("hi", "lo").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n")).filter("n > 1")
@@ -361,7 +378,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY,
     copies = common.saved(common.join_skewed(named.select("doc_id", "hi", "lo"), same, ["hi", "lo"], named.count()).select("doc_id", "class_id").distinct())
     extra = copies.filter("doc_id <> class_id").select("doc_id")
     classes = common.join_small(named, extra, "doc_id", "left_anti").dropDuplicates(["doc_id"]) if common.some(extra) else named
-    edges = candidates(members(classes), sketches(classes))
+    edges = candidates(members(classes), sketches(classes), percent)
     links = confirmed(common.saved(nearest(edges)), docs, k, percent, doc_id, text)
     labels = components(links)
     more = cluster_links(edges, labels, docs, k, percent, doc_id, text)

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from talkmill.llm import chosen_path, repeats
 from talkmill.llm.components import components
@@ -54,6 +55,29 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert got == brute.near_components(docs, 4, 80)
 
 
+def test_large_nodes_are_branched_by_few_tokens(spark, monkeypatch):
+    """Classes that have three tokens in common, two of them also the next (two) and none all six."""
+    monkeypatch.setattr(chosen_path, "LIMIT", 4)
+    for depth in (4, 5):
+        sig = np.random.default_rng(9).integers(0, 1 << 32, (8, chosen_path.TREES, chosen_path.LEVELS), dtype=np.uint32)
+        sig[:, :, :3] = sig[0, :, :3]
+        sig[1, :, :depth] = sig[0, :, :depth]
+        if depth == 5:
+            sig[:, :, 3] = sig[0, :, 3]
+        df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sig)], "doc_id long, sig binary")
+        small = chosen_path.members(df).filter("n <= 4").collect()
+        assert {r.doc_id for r in small} == {0, 1}
+
+
+def test_thresholds_that_trees_do_not_cover_are_refused(spark):
+    df = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    for percent in (50, 79, 101):
+        with pytest.raises(ValueError):
+            chosen_path.near_duplicates(df, percent=percent)
+    assert chosen_path.near_duplicates(df, percent=90).count() == 1
+    assert chosen_path.sketch_share(95) > chosen_path.sketch_share(80) > 0.59
+
+
 def test_blocks_link_what_is_similar():
     rnd = np.random.default_rng(3)
     sets = [np.unique(rnd.integers(0, 60, 40).astype(np.uint64)) for _ in range(40)]
