@@ -63,7 +63,7 @@ def artifacts(spark, d) -> DataFrame:
 
 CHECKS = ", ".join(f"('{s.name}', '{a}', {repr(ref) if ref else 'NULL'}, {a in stages.OPTIONAL}, {a in stages.WITH_AUDIO}, {stages.OVERRIDES.get(a, {}).get('tol_s', 2.0)}, {stages.OVERRIDES.get(a, {}).get('size_lo', 0.08)})" for s in stages.STAGES for a, ref in s.outputs)
 ARTIFACT = f"""names AS (SELECT unnest({ARTIFACTS!r}) AS artifact, unnest(range({len(ARTIFACTS)})) AS i),
-hashed AS (SELECT o_orderkey AS rec, artifact, i, o_totalprice, o_orderkey // 100 * 7 + i * 13 AS h FROM orders, names WHERE o_orderkey % 100 = 0),
+hashed AS (SELECT o_orderkey AS rec, artifact, i, o_totalprice, o_orderkey // 100 * 7 + i * 13 AS h FROM orders, names),
 artifacts AS (
   SELECT rec, artifact, h % 4 <> 0 AS path_exists, CASE WHEN h % 9 <> 0 THEN CAST(trunc(o_totalprice * (i + 1)) AS BIGINT) END AS size, floor(o_totalprice / 3000) + h % 5 AS duration,
          TRUE AS has_video, h % 3 <> 0 AS has_audio, NULL::BIGINT AS n_frames FROM hashed),
@@ -149,7 +149,7 @@ def sync_plan(spark, d) -> DataFrame:
     return out.select("rec", near("screen_trim"), near("camera_trim"), near("residual"), (F.round("residual", 6) > 600).alias("refused"), (F.round("screen_trim", 6) > 0.5).alias("cut_screen"), (F.round("camera_trim", 6) > 0.5).alias("cut_camera"), "scan_ended", near("drift"), "drifted")
 
 
-@query("""WITH logs AS (SELECT user_id AS rec, event_id, value FROM events WHERE event_id % 3 = 0)
+@query("""WITH logs AS (SELECT user_id AS rec, event_id, value FROM events)
 SELECT rec, round(value, 2) AS start, round(value + event_id % 10, 2) AS "end" FROM logs""")
 def black_runs(spark, d) -> DataFrame:
     """Log lines made of events and read again."""
@@ -180,7 +180,7 @@ def parse_times(spark, d) -> DataFrame:
     return views.table(spark, d, "part").select(F.col("p_partkey").alias("id"), seconds.alias("seconds"), fn.srt_time(seconds).alias("srt"))
 
 
-@query("""WITH spans AS (SELECT user_id AS rec, event_id AS pos, CAST(trunc(value * 100) AS BIGINT) AS a, CAST(trunc(value * 100) AS BIGINT) + CAST(trunc(value * 10) AS BIGINT) AS b FROM events WHERE event_id % 5 = 0),
+@query("""WITH spans AS (SELECT user_id AS rec, event_id AS pos, CAST(trunc(value * 100) AS BIGINT) AS a, CAST(trunc(value * 100) AS BIGINT) + CAST(trunc(value * 10) AS BIGINT) AS b FROM events),
 samples AS (SELECT rec, pos, a, b, unnest(range(a - 480, b + 480, 240)) AS s FROM spans)
 SELECT rec, pos, s AS sample, round(CASE WHEN s < a OR s >= b THEN 1.0 WHEN b - a <= 960 THEN 0.0 WHEN s - a < 480 THEN 1 - (s - a) / 479 WHEN s >= b - 480 THEN (s - b + 480) / 479 ELSE 0.0 END, 6) AS gain FROM samples""")
 def mute_gain(spark, d) -> DataFrame:
@@ -232,7 +232,7 @@ def crop_sizes(spark, d) -> DataFrame:
     return views.table(spark, d, "part").select(F.col("p_partkey").alias("id"), cw.cast("long").alias("cw"), F.least(fn.rounded(cw * 720 / 1280), F.lit(720)).cast("long").alias("ch"))
 
 
-@query("""SELECT o_orderkey AS rec, k, c, round(o_totalprice / k / 17.63 / c / 60, 6) AS minutes FROM orders, (SELECT unnest([1, 2, 4, 8]) AS k), (SELECT unnest([1, 8]) AS c) WHERE o_orderkey % 20 = 0""")
+@query("""SELECT o_orderkey AS rec, k, c, round(o_totalprice / k / 17.63 / c / 60, 6) AS minutes FROM orders, (SELECT unnest([1, 2, 4, 8]) AS k), (SELECT unnest([1, 8]) AS c)""")
 def cost_model(spark, d) -> DataFrame:
     """minutes of inference by sampling step and chunks."""
     options = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(c).alias("c")) for k in (1, 2, 4, 8) for c in (1, 8)])
@@ -251,7 +251,7 @@ def throughput(spark, d) -> DataFrame:
     return rows.select("rec", "pos", F.round("done", 6).alias("done"), F.round(rate, 6).alias("rate"), F.round((F.col("whole") - F.col("done")) / rate / 60, 6).alias("eta_min"))
 
 
-ASSET = """SELECT o_orderkey AS n, printf('s/%d', o_orderkey) AS session FROM orders WHERE o_orderkey % 10 = 0"""
+ASSET = """SELECT o_orderkey AS n, printf('s/%d', o_orderkey) AS session FROM orders"""
 
 
 def assets(spark, d) -> DataFrame:

@@ -112,7 +112,7 @@ def recent_median(spark, d) -> DataFrame:
     return idn.recent_median(samples, ["rec"], ["start", "pos"], 100.0).select("rec", "pos", F.round("recent", 6).alias("recent"), "decided")
 
 
-RECORDINGS = "recordings AS (SELECT o_orderkey AS rec, CAST(o_orderkey % 7 * 10 AS BIGINT) AS start_frame, CAST(o_orderkey % 7 * 10 + o_totalprice / 50 AS BIGINT) AS end_frame, CAST(25 AS DOUBLE) AS fps FROM orders WHERE o_orderkey % 50 = 0)"
+RECORDINGS = "recordings AS (SELECT o_orderkey AS rec, CAST(o_orderkey % 7 * 10 AS BIGINT) AS start_frame, CAST(o_orderkey % 7 * 10 + o_totalprice / 50 AS BIGINT) AS end_frame, CAST(25 AS DOUBLE) AS fps FROM orders)"
 
 
 def recordings(spark, d) -> DataFrame:
@@ -149,7 +149,7 @@ IOU = """CASE WHEN least(a.x2, b.x2) > greatest(a.x1, b.x1) AND least(a.y2, b.y2
 
 
 @query(f"""WITH {BOXES} SELECT a.rec, a.frame, a.det_pos AS a_pos, b.det_pos AS b_pos, round({IOU}, 6) AS iou
-FROM boxes a JOIN boxes b ON b.rec = a.rec AND b.frame = a.frame + 4 WHERE a.score > 0.05 AND b.score > 0.05""")
+FROM boxes a JOIN boxes b ON b.rec = a.rec AND b.frame = a.frame + 4""")
 def iou_pairs(spark, d) -> DataFrame:
     """F4 over boxes of consecutive samples (J7's candidates)."""
     seen = views.boxes(spark, d)

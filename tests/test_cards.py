@@ -1,4 +1,4 @@
-"""Queries over whole tables: the rows of the registered SQL with its row filter taken out here."""
+"""Card layout over whole texts, against plain loops."""
 
 import os
 import random
@@ -7,24 +7,7 @@ import duckdb
 import pytest
 
 from talkmill.plans import registry
-from tests.test_queries import DIR, TABLES, rows
-
-#: The row filters of the SQL that the queries do not have.
-CUTS = {
-    "stage_sweep": " WHERE o_orderkey % 100 = 0",
-    "stage_verdicts": " WHERE o_orderkey % 100 = 0",
-    "best_artifact": " WHERE o_orderkey % 100 = 0",
-    "publish_guard": " WHERE o_orderkey % 100 = 0",
-    "manifest_metadata": " WHERE o_orderkey % 10 = 0",
-    "manifest_streams": " WHERE o_orderkey % 10 = 0",
-    "sample_frames": " WHERE o_orderkey % 50 = 0",
-    "chunk_bounds": " WHERE o_orderkey % 50 = 0",
-    "cost_model": " WHERE o_orderkey % 20 = 0",
-    "black_runs": " WHERE event_id % 3 = 0",
-    "mute_gain": " WHERE event_id % 5 = 0",
-    "iou_pairs": " WHERE a.score > 0.05 AND b.score > 0.05",
-}
-
+from tests.test_queries import DIR, TABLES
 
 @pytest.fixture(scope="module")
 def duck():
@@ -34,18 +17,6 @@ def duck():
     return con
 
 
-@pytest.mark.skipif(not os.path.isdir(DIR), reason="no tables")
-@pytest.mark.parametrize("name", sorted(CUTS))
-def test_every_row_is_judged(spark, duck, name):
-    df = registry.queries()[name](spark, DIR)
-    got = rows(df.columns, df.collect())
-    fetched = lambda sql: (cur := duck.execute(sql)) and rows([c[0] for c in cur.description], cur.fetchall())
-    sql = registry.oracle_sql()[name]
-    want, cut = fetched(sql.replace(CUTS[name], "")), fetched(sql)
-    assert got == want
-    assert set(cut) <= set(got)
-
-
 def card(text):
     """Size, lines and over-budget flag of a text, by plain loops."""
     for size in range(64, 31, -4):
