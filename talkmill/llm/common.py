@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 512
 #: Bytes of text that one step of a batch function holds at a time.
 SLICE_BYTES = 4 << 20
-#: Rows up to which a side of (id, small value) rows is broadcast; beyond it the join is shuffled.
-BROADCAST_ROWS = 300_000
+#: Rows and stored bytes up to which a written table is broadcast; beyond either the join is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 300_000, 16 << 20
 #: A key with this share of all rows is heavy: there are at most 1 / HEAVY of them.
 HEAVY = 1 / 1000
 
@@ -55,10 +55,13 @@ def prepare(spark: SparkSession) -> None:
 def scratch(spark: SparkSession) -> str:
     """A new folder under the checkpoint folder that all executors share.
 
-    The session's own setting is used; only where none is set (as in tests) a local one is made.
+    The session's own setting is used; where none is set, a session in one process (as in
+    tests) gets a local folder and a cluster is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="talkmill-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/talkmill-{uuid.uuid4().hex}"
@@ -127,10 +130,16 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
+def fits(small: DataFrame, rows: int | None = None) -> bool:
+    """Whether a written table is small enough to be broadcast, by its rows and by the bytes of its files."""
+    if (small.count() if rows is None else rows) > BROADCAST_ROWS:
+        return False
+    return int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= BROADCAST_BYTES
+
+
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str, rows: int | None = None) -> DataFrame:
-    """big joined with a written table: broadcast if it has few rows, else shuffled (skewed keys are split by AQE)."""
-    rows = small.count() if rows is None else rows
-    return big.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small.hint("merge"), on, how)
+    """big joined with a written table: broadcast if it is small, else shuffled (skewed keys are split by AQE)."""
+    return big.join(F.broadcast(small) if fits(small, rows) else small.hint("merge"), on, how)
 
 
 def join_skewed(big: DataFrame, groups: DataFrame, on: list[str], total: int, n: str = "n") -> DataFrame:
@@ -139,7 +148,7 @@ def join_skewed(big: DataFrame, groups: DataFrame, on: list[str], total: int, n:
     Few keys are broadcast. Of many keys the heavy ones, of which there are at most
     1 / HEAVY, are broadcast and the rest shuffled, so no task gets a heavy key whole.
     """
-    if groups.count() <= BROADCAST_ROWS:
+    if fits(groups):
         return big.join(F.broadcast(groups), on)
     limit = int(HEAVY * total) + 1
     heavy, light = groups.filter(F.col(n) > limit), groups.filter(F.col(n) <= limit)

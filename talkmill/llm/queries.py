@@ -60,7 +60,7 @@ def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.digests(common.table(spark, sf_dir, "documents"))
+    return repeats.report(common.table(spark, sf_dir, "documents"))
 
 
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

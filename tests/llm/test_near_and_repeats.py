@@ -103,12 +103,13 @@ def test_transform_marks_repeats():
         n, alphabet = rnd.choice([1, 3, 8]), rnd.choice(["a", "ab", "abcdefgh"])
         texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 50))).encode() for _ in range(rnd.randint(1, 5))]
         count = Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
-        assert [x.tolist() for x in repeats.repeated(texts, n)] == [[i for i in range(len(t) - n + 1) if count[t[i : i + n]] > 1] for t in texts]
+        got = repeats.repeated([np.frombuffer(t, np.uint8) for t in texts], n)
+        assert [x.tolist() for x in got] == [[i for i in range(len(t) - n + 1) if count[t[i : i + n]] > 1] for t in texts]
 
 
 def test_contexts_cover_each_window_once():
     data = bytes(random.Random(6).choice(b"ab ") for _ in range(3000))
-    runs = repeats.contexts(data)
+    runs = repeats.contexts(np.frombuffer(data, np.uint8))
     assert [p for _, _, a, b in runs for p in range(a, b + 1)] == list(range(len(data) - 399))
     assert all(b <= at <= a + 400 - repeats.GRAM for _, at, a, b in runs)
 
