@@ -42,7 +42,8 @@ ADDRESS = re.compile(r"[^\s\"'<>\\^`{|}]+")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20-]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 AFTER_CUE = re.compile(r"[\x20]*(?:number|no\.?|nr\.?|#)?[\x20]*[:=#]?[\x20]*", re.I)
 NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,19}(?![0-9])")
-SECRET = re.compile(r"[\x20]*[:=][\x20]*[\"']?([A-Za-z0-9_/+=-]{12,})")
+TO_SECRET = re.compile(r"[\x20]*[:=][\x20]*[\"']?")
+SECRET = re.compile(r"[A-Za-z0-9_/+=-]{12,}")
 
 
 def luhn(digits: str) -> bool:
@@ -115,15 +116,17 @@ def spans(text: str) -> list[tuple[int, int, str]]:
                 if 10 <= sum(c in DIGITS for c in m[0]) <= 15:
                     found.append((at, m.end(), "phone"))
         elif anchor == "url":
-            scheme, rest = SCHEME.search(text[max(0, at - 32) : at]), ADDRESS.match(text, last + 1)
-            if scheme and rest and (address := rest[0].rstrip(".,;:!?)]")) and address[0].isalnum():
+            # the address is read only if it will be added, so a run of marks is read once
+            if at < ends["url"] or not text[last + 1 : last + 2].isalnum() or not (scheme := SCHEME.search(text[max(0, at - 32) : at])):
+                continue
+            if (rest := ADDRESS.match(text, last + 1)) and (address := rest[0].rstrip(".,;:!?)]")):
                 add("url", at - len(scheme[0]), last + 1 + len(address))
         elif anchor == "account":
             start = AFTER_CUE.match(text, last + 1).end()
             if (m := IBAN.match(text, start)) and is_iban(m[0]) or (m := NUMBER.match(text, start)):
                 add("account", m.start(), m.end())
-        elif m := SECRET.match(text, last + 1):
-            add("secret", m.start(1), m.end(1))
+        elif (m := TO_SECRET.match(text, last + 1)) and m.end() >= ends["secret"] and (m := SECRET.match(text, m.end())):
+            add("secret", m.start(), m.end())
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
