@@ -37,6 +37,7 @@ def prepare(spark: SparkSession) -> None:
     The package is shipped only if executors would not find it by themselves.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * SLICE_BYTES))
     root = Path(__file__).resolve().parents[2]
     found = [Path(p).resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":")] if p]
     if root in found or (Path(os.getcwd()) / "talkmill").resolve() == root / "talkmill":
@@ -130,9 +131,9 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
-def fits(small: DataFrame, rows: int | None = None) -> bool:
+def fits(small: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> bool:
     """Whether a written table is small enough to be broadcast, by its rows and by the bytes of its files."""
-    if (small.count() if rows is None else rows) > BROADCAST_ROWS:
+    if (small.count() if rows is None else rows) > most:
         return False
     return int(str(small._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= BROADCAST_BYTES
 
@@ -142,13 +143,13 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str,
     return big.join(F.broadcast(small) if fits(small, rows) else small.hint("merge"), on, how)
 
 
-def join_skewed(big: DataFrame, groups: DataFrame, on: list[str], total: int, n: str = "n") -> DataFrame:
+def join_skewed(big: DataFrame, groups: DataFrame, on: list[str], total: int, n: str = "n", rows: int = BROADCAST_ROWS) -> DataFrame:
     """big joined with a written table of one row for each key, where n is the key's rows in big and total all rows.
 
     Few keys are broadcast. Of many keys the heavy ones, of which there are at most
     1 / HEAVY, are broadcast and the rest shuffled, so no task gets a heavy key whole.
     """
-    if fits(groups):
+    if fits(groups, most=rows):
         return big.join(F.broadcast(groups), on)
     limit = int(HEAVY * total) + 1
     heavy, light = groups.filter(F.col(n) > limit), groups.filter(F.col(n) <= limit)

@@ -61,6 +61,8 @@ BATCH_BYTES, SEGMENT = 256 << 10, 8 << 20
 WORD_BYTES = 1 << 20
 #: Bytes of contexts that a task transforms, at least and (where the cluster has more tasks) at most.
 TASK_BYTES = (1 << 20, 64 << 20)
+#: Anchors (a number and a count) that are broadcast at most.
+ANCHOR_ROWS = 1_000_000
 BASE = 0x9E3779B97F4A7C15
 PLACE = np.uint64((1 << 24) - 1)
 #: A context or part by two 64-bit hashes: of its anchor or core, and of all its bytes.
@@ -416,6 +418,9 @@ def part_spans(found: DataFrame, scale: Scale = BYTES) -> DataFrame:
 def marks(docs: DataFrame, scale: Scale = BYTES) -> DataFrame:
     """(DOC, found array<struct<places, spans>>): where each document's contexts start and their repeated windows."""
     seen = common.saved(occurrences(docs, scale))
+    # most anchors stand alone; only the rows of the others go on
+    shared = common.saved(seen.groupBy("anchor").agg(F.sum(F.size("places")).alias("n")).filter("n > 1"))
+    seen = common.saved(common.join_skewed(seen, shared, ["anchor"], shared.agg(F.sum("n")).first()[0] or 0, rows=ANCHOR_ROWS).drop("n"))
     kinds, anchors = counted_kinds(seen, F.size("places"), [*DOC, F.col("places")[0].alias("place"), "size", "at"])
     found = common.saved(fetched(several(kinds, anchors), docs, DOC, scale, texts=True).dropDuplicates(KEY))
     once = kinds.filter("times = 1").select(*KEY, "n").join(part_spans(found, scale).groupBy(*KEY).agg(F.flatten(F.collect_list("spans")).alias("spans")), KEY)
