@@ -47,6 +47,8 @@ MISSED = 0.01
 #: Classes in a node that are compared exhaustively, classes in a side of a block, and columns
 #: (shingles) of a block that are counted at once.
 LIMIT, BLOCK, COLUMNS = 512, 256, 8192
+#: Shingles in a side of a block, and shingles of a block that are sorted at once.
+BLOCK_SHINGLES, RANGE_SHINGLES = 1 << 20, 1 << 19
 #: Sketches (a byte of each minwise value) that agree in so many standard deviations less than the
 #: threshold are no candidates.
 SKETCH_DEVIATIONS = 5
@@ -263,32 +265,46 @@ def nearest(edges: DataFrame) -> DataFrame:
 
 
 def linked(sets: list[np.ndarray], labels: np.ndarray, asked: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """One pair of rows, one of them asked, for each two labels that similar sets join."""
+    """One pair of rows, one of them asked, for each two labels that similar sets join.
+
+    Shingles are counted range by range of their hashes, so memory follows a range and not all sets.
+    """
     sizes = np.array([len(x) for x in sets], np.float32)
-    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
-    shared = times[column] > 1
-    owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
     both = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int((times > 1).sum()), COLUMNS):
-        here = (column >= low) & (column < low + COLUMNS)
-        held = np.zeros((len(sets), COLUMNS), np.float32)
-        held[owner[here], column[here] - low] = 1
-        both += held @ held.T
+    steps = int(sizes.sum()) // RANGE_SHINGLES + 1
+    cuts = np.array([(i << 64) // steps for i in range(1, steps)], np.uint64)
+    places = [np.concatenate([[0], np.searchsorted(x, cuts), [len(x)]]) for x in sets]
+    for step in range(steps):
+        some = [x[p[step] : p[step + 1]] for x, p in zip(sets, places, strict=True)]
+        _, column, times = np.unique(np.concatenate(some), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in some])
+        shared = times[column] > 1
+        owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+        for low in range(0, int((times > 1).sum()), COLUMNS):
+            here = (column >= low) & (column < low + COLUMNS)
+            held = np.zeros((len(sets), COLUMNS), np.float32)
+            held[owner[here], column[here] - low] = 1
+            both += held @ held.T
     hit = (both > 0) & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)) & (labels[:, None] != labels[None, :]) & (asked[:, None] | asked[None, :])
     i, j = np.nonzero(np.triu(hit))
     _, one = np.unique(np.sort(np.stack([labels[i], labels[j]], axis=1), axis=1), axis=0, return_index=True) if len(i) else (None, [])
     return [(int(i[k]), int(j[k])) for k in one]
 
 
-def cluster_links(edges: DataFrame, labels: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
-    """(a, b): links between components within the clusters of candidate edges, on full sets; a written table."""
+def cluster_links(edges: DataFrame, labels: DataFrame, sized: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    """(a, b): links between components within the clusters of candidate edges, on full sets; a written table.
+
+    sized has the doc_id and n_shingles of each class. A side of a block is bounded by
+    its classes and by their shingles.
+    """
     clusters = components(contracted(edges)).withColumnRenamed("label", "cluster")
     rows = common.join_small(clusters, labels, "id", "left").select("id", "cluster", F.coalesce("label", "id").alias("label"))
-    sizes = common.saved(rows.groupBy("cluster", "label").agg(F.count("*").alias("k")))
-    mixed = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("top"), F.count("*").alias("kinds")).filter("kinds > 1")
-    side = lambda c: F.ceil(c / BLOCK).cast("int")
-    mixed = common.saved(mixed.withColumn("across", side(F.col("n"))).withColumn("down", side(F.col("n") - F.col("top"))))
+    rows = common.saved(rows.join(sized.select(F.col("doc_id").alias("id"), "n_shingles"), "id"))
+    sizes = common.saved(rows.groupBy("cluster", "label").agg(F.count("*").alias("k"), F.sum("n_shingles").alias("w")))
+    mixed = sizes.groupBy("cluster").agg(F.max(F.struct("k", "label", "w")).alias("main"), F.sum("k").alias("n"), F.sum("w").alias("w"), F.count("*").alias("kinds")).filter("kinds > 1")
+    side = lambda n, w: F.ceil(F.greatest(n / BLOCK, w / BLOCK_SHINGLES)).cast("int")
+    mixed = mixed.select("cluster", F.col("main.label").alias("main"), "n", side(F.col("n"), F.col("w")).alias("across"), side(F.col("n") - F.col("main.k"), F.col("w") - F.col("main.w")).alias("down"))
+    rows, mixed = rows.drop("n_shingles"), common.saved(mixed)
     rows = common.join_skewed(rows, mixed, ["cluster"], mixed.agg(F.sum("n")).first()[0] or 0).withColumn("asked", F.col("label") != F.col("main"))
     h = F.xxhash64("id")
     x, y = F.pmod(h, F.col("across")).cast("int"), F.pmod(h, F.col("down")).cast("int")
@@ -381,7 +397,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY,
     edges = candidates(members(classes), sketches(classes), percent)
     links = confirmed(common.saved(nearest(edges)), docs, k, percent, doc_id, text)
     labels = components(links)
-    more = cluster_links(edges, labels, docs, k, percent, doc_id, text)
+    more = cluster_links(edges, labels, classes, docs, k, percent, doc_id, text)
     if common.some(more):
         labels = components(common.saved(links.unionByName(more)))
     moved = copies.select("doc_id", "class_id")
