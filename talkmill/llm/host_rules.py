@@ -1,8 +1,11 @@
 """Quality rules with host verdicts.
 
-Each document gets its counts and rule failures. Failures are summed by host, each
-host's rate is shrunk towards a beta prior fitted to all hosts by moments, and a
-host whose shrunk rate of any rule is above the limit loses all its documents.
+Each document gets its counts and rule failures. Failures are summed by host, and each
+host's rate is shrunk towards a beta prior fitted to all hosts by moments. Besides the
+base rule there are soft ones, which good documents fail at times: such a failure
+counts only on a host whose shrunk rate of that rule lies above what the prior lets
+expect of hosts (its mean and SPREAD standard deviations). A host whose shrunk rate of
+any rule is above MAX_HOST_RATE loses all its documents.
 
 Defined cases: a null text has no words and so fails the base rule; a null host is
 the host ''; a repeated row counts again; extra columns are ignored by judge() and
@@ -23,6 +26,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: A host goes if its shrunk rate of a rule is above this.
 MAX_HOST_RATE = 0.8
+#: Standard deviations of the prior above its mean from which a host's rate of a soft rule is bad.
+SPREAD = 1.0
 #: Weight of the prior in documents: bounds for the fitted value.
 STRENGTH = (2.0, 10_000.0)
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -109,31 +114,47 @@ def priors(hosts: DataFrame) -> dict[str, tuple[float, float]]:
     return out
 
 
-def host_verdicts(failed: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """(host, n, rate_<rule>, rejected) of every host, as a written table."""
+def limit(alpha: float, beta: float, max_rate: float = MAX_HOST_RATE, spread: float = SPREAD) -> float:
+    """The rate above which a host is bad by a rule with this prior."""
+    mean = alpha / (alpha + beta)
+    return min(max_rate, mean + spread * (mean * (1 - mean) / (alpha + beta + 1)) ** 0.5)
+
+
+def host_verdicts(failed: DataFrame, max_rate: float = MAX_HOST_RATE, spread: float = SPREAD) -> DataFrame:
+    """(host, n, rate_<rule>, rejected, bad_<rule>) of every host."""
     hosts = common.saved(host_rates(failed))
     fit = priors(hosts)
     rated = hosts.select("host", "n", *[((F.col(f"f_{k}") + a) / (F.col("n") + a + b)).alias(f"rate_{k}") for k, (a, b) in fit.items()])
-    return rated.withColumn("rejected", F.greatest(*[F.col(f"rate_{k}") for k in RULES]) > max_rate)
+    rated = rated.withColumn("rejected", F.greatest(*[F.col(f"rate_{k}") for k in RULES]) > max_rate)
+    return rated.withColumns({f"bad_{k}": F.col(f"rate_{k}") > limit(*fit[k], max_rate, spread) for k in RULES})
 
 
 def with_verdicts(failed: DataFrame, hosts: DataFrame) -> DataFrame:
-    """failed with host_rejected and kept."""
-    bad = common.saved(hosts.filter("rejected").select("host", F.lit(True).alias("host_rejected")))
+    """failed with host_rejected, soft_rejected and kept."""
+    soft = [k for k in RULES if k != "base"]
+    named = hosts.select("host", F.col("rejected").alias("host_rejected"), *[f"bad_{k}" for k in soft])
+    bad = common.saved(named.filter(" or ".join(["host_rejected", *[f"bad_{k}" for k in soft]])))
     joined = common.join_small(failed, bad, "host", "left")
-    return joined.withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False))).withColumn("kept", ~F.col("failed_base") & ~F.col("host_rejected"))
+    hit = F.lit(False)
+    for k in soft:
+        hit = hit | (F.col(f"failed_{k}") & F.coalesce(f"bad_{k}", F.lit(False)))
+    joined = joined.withColumns({"host_rejected": F.coalesce("host_rejected", F.lit(False)), "soft_rejected": hit}).drop(*[f"bad_{k}" for k in soft])
+    return joined.withColumn("kept", ~F.col("failed_base") & ~F.col("host_rejected") & ~F.col("soft_rejected"))
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """(doc_id, host, METRICS, failed_<rule>, host_rejected, kept) of each document."""
+    """(doc_id, host, METRICS, failed_<rule>, host_rejected, soft_rejected, kept) of each document."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), common.text_bytes(text).alias("data"))
     failed = failures(common.saved(_measured(rows, "doc_id long")))
     return with_verdicts(failed, host_verdicts(failed, max_rate))
 
 
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The rows of docs, with all their columns, that neither a rule nor their host's verdict rejects."""
-    failed = failures(measure(docs, host, text))
+    """The rows of docs, with all their columns, that neither a rule nor their host's verdict rejects.
+
+    Rows are written with their metrics, so a text is measured once.
+    """
+    failed = failures(common.saved(measure(docs, host, text)))
     return with_verdicts(failed, host_verdicts(failed.drop("row"), max_rate)).filter("kept").select("row.*")
 
 
@@ -167,9 +188,9 @@ hosts AS (
 moment AS (SELECT {moments} FROM hosts),
 prior AS (SELECT *, {strengths} FROM moment),
 verdict AS (
-  SELECT host, greatest({rates}) > {max_rate} AS host_rejected FROM hosts CROSS JOIN prior)
+  SELECT host, greatest({rates}) > {max_rate} AS host_rejected, {bads} FROM hosts CROSS JOIN prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_base AS base_failed,
-       NOT failed_base AND NOT host_rejected AS kept
+       NOT failed_base AND NOT host_rejected{soft} AS kept
 FROM failed JOIN verdict USING (host)
 """
 
@@ -181,6 +202,9 @@ def oracle() -> str:
     text = text.replace("{moments}", ", ".join(f"avg(f_{k} / n) AS m_{k}, var_pop(f_{k} / n) AS v_{k}" for k in RULES))
     text = text.replace("{strengths}", ", ".join(strength.format(k, *STRENGTH) for k in RULES))
     text = text.replace("{rates}", ", ".join(f"(f_{k} + m_{k} * s_{k}) / (n + s_{k})" for k in RULES))
+    soft = [k for k in RULES if k != "base"]
+    text = text.replace("{bads}", ", ".join(f"(f_{k} + m_{k} * s_{k}) / (n + s_{k}) > least({MAX_HOST_RATE}, m_{k} + {SPREAD} * sqrt(m_{k} * (1 - m_{k}) / (s_{k} + 1))) AS bad_{k}" for k in soft))
+    text = text.replace("{soft}", "".join(f" AND NOT (failed_{k} AND bad_{k})" for k in soft))
     for k, v in rules.items():
         text = text.replace("{" + k + "}", f"({v})")
     return text
