@@ -38,6 +38,10 @@ LEVEL = 3
 MIN_REVISIT = 0
 #: Of the seekable format: magic of the skippable frame and of the footer (fixed values).
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
+#: Bytes of the footer and of an entry of the seek table (fixed by the format).
+FOOTER, ENTRY = 9, 8
+#: Bytes of frames that a task reads.
+READ_BYTES = 32 << 20
 MANIFEST = "page_id long, bundle string, frame_start long, frame_bytes long, record_offset long, record_bytes long"
 
 
@@ -112,11 +116,42 @@ def file_system(uri: str):
 
 
 def folder(spark) -> str:
-    """A new folder for bundles in the shared place, as a URI that pyarrow opens."""
-    path = common.scratch(spark)
+    """A new folder for bundles in the shared place, as a URI that pyarrow opens; a path without a scheme is one of Spark's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(common.scratch(spark))
+    path = str(path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString())
     return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
 
 
+class BundleReader:
+    """The bundles of a folder, one open at a time; frames are found by the seek table at a bundle's end."""
+
+    def __init__(self, where: str):
+        self.fs, self.base = file_system(where)
+        self.name, self.file, self.frames = "", None, {}
+
+    def frame(self, bundle: str, start: int, size: int) -> bytes:
+        """The bytes of the frame at a place; it is an error if the seek table has no frame of that size there."""
+        if bundle != self.name:
+            self.close()
+            self.name, self.file = bundle, self.fs.open_input_file(f"{self.base}/{bundle}")
+            end = self.file.size()
+            n = struct.unpack("<IBI", self.file.read_at(FOOTER, end - FOOTER))[0]
+            table = seek_table(self.file.read_at(FOOTER + ENTRY * n, end - FOOTER - ENTRY * n))
+            self.frames = {at: (packed, whole) for at, packed, whole in table}
+        packed, whole = self.frames.get(start, (None, None))
+        if packed != size:
+            raise ValueError(f"{bundle}: the seek table has no frame of {size} bytes at {start}")
+        data = zstandard.ZstdDecompressor().decompress(self.file.read_at(packed, start))
+        if len(data) != whole:
+            raise ValueError(f"{bundle}: the frame at {start} has {len(data)} bytes, not {whole}")
+        return data
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+            self.file = None
+
+
 def targets(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """(page_id, sha1, refers_to) of each distinct page and payload.
 
@@ -178,16 +213,20 @@ def read(manifest: DataFrame, where: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the manifest's records, from their bundles.
 
     A response's bytes and digest are taken from its block, a revisit's from its headers.
+    Tasks are dealt by the bytes of their frames, not by those of the manifest.
     """
     frames = manifest.groupBy("bundle", "frame_start", "frame_bytes").agg(F.collect_list("record_offset").alias("offsets"))  # bounded by a frame's records
+    frames = common.saved(frames)
+    total = frames.agg(F.sum("frame_bytes")).first()[0] or 0
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, total // READ_BYTES)
+    frames = frames.repartition(int(tasks), "bundle", "frame_start").sortWithinPartitions("bundle", "frame_start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = file_system(where)
+        reader = BundleReader(where)
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
         for batch in batches:
             for row in batch.to_pylist():
-                with fs.open_input_file(f"{base}/{row['bundle']}") as f:
-                    data = zstandard.ZstdDecompressor().decompress(f.read_at(row["frame_bytes"], row["frame_start"]))
+                data = reader.frame(row["bundle"], row["frame_start"], row["frame_bytes"])
                 out = []
                 for at in row["offsets"]:
                     headers, block, _ = parsed(data, at)
@@ -200,15 +239,16 @@ def read(manifest: DataFrame, where: str) -> DataFrame:
                     out.append((None if own == "null" else int(own), *got))
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names)
+        reader.close()
 
     return frames.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def payload(manifest_row, where: str) -> tuple[dict[str, str], bytes]:
     """(headers, block) of one record by its manifest row: one ranged read and one frame."""
-    fs, base = file_system(where)
-    with fs.open_input_file(f"{base}/{manifest_row['bundle']}") as f:
-        data = zstandard.ZstdDecompressor().decompress(f.read_at(manifest_row["frame_bytes"], manifest_row["frame_start"]))
+    reader = BundleReader(where)
+    data = reader.frame(manifest_row["bundle"], manifest_row["frame_start"], manifest_row["frame_bytes"])
+    reader.close()
     return parsed(data, manifest_row["record_offset"])[:2]
 
 
