@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +29,11 @@ def interpolated(known: DataFrame, lengths: DataFrame, key: str, values: list[st
     """
     grid = lengths.select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_frames").cast("long") - 1)).alias("frame"))
     all_rows = grid.join(known.select(key, F.col("frame").cast("long").alias("frame"), *values), [key, "frame"], "left")
-    w = Window.partitionBy(key).orderBy("frame")
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    # running frames both ways, so time follows the frames
+    w = Window.partitionBy(key)
+    back, ahead = (w.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.col("frame"), F.desc("frame")))
     at = F.when(F.col(values[0]).isNotNull(), F.col("frame"))
-    marked = all_rows.withColumns({"f0": F.last(at, ignorenulls=True).over(back), "f1": F.first(at, ignorenulls=True).over(ahead)} | {f"{v}0": F.last(v, ignorenulls=True).over(back) for v in values} | {f"{v}1": F.first(v, ignorenulls=True).over(ahead) for v in values})
+    marked = all_rows.withColumns({"f0": F.last(at, ignorenulls=True).over(back), "f1": F.last(at, ignorenulls=True).over(ahead)} | {f"{v}0": F.last(v, ignorenulls=True).over(back) for v in values} | {f"{v}1": F.last(v, ignorenulls=True).over(ahead) for v in values})
 
     def line(v: str) -> Column:
         a, b = F.col(f"{v}0"), F.col(f"{v}1")
@@ -46,40 +50,64 @@ def hann_weights(window: int) -> list[float]:
     return [x / sum(raw) for x in raw]
 
 
+def recordings_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, first row of each recording) of whole recordings, from batches sorted by key."""
+    kept: list[pa.RecordBatch] = []
+
+    def joined() -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(kept)
+        keys = rows.column(key).to_numpy()
+        return rows, np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cut = int(np.flatnonzero(np.concatenate([[bool(kept) and keys[0] != kept[-1].column(key)[-1].as_py()], keys[1:] != keys[:-1]]))[-1:].sum())
+        whole = cut > 0 or bool(kept) and keys[0] != kept[-1].column(key)[-1].as_py()
+        if whole:
+            kept.append(batch.slice(0, cut))
+            yield joined()
+            kept = []
+        kept.append(batch.slice(cut))
+    if kept:
+        yield joined()
+
+
 def smoothed(series: DataFrame, key: str, values: list[str], window: int) -> DataFrame:
     """series (key, frame, values) under a centred Hann window, its ends repeated; under three rows unchanged.
 
-    A row gathers its neighbours in a sliding frame; what lies outside the series
-    counts as its end value, with the weights of all places outside.
+    A place of the window is added for all rows of many recordings at once; what lies
+    outside a recording counts as its end value. A recording is held whole by a task.
     """
     weights = hann_weights(window)
-    n, half = len(weights), len(weights) // 2
-    if n <= 1:
+    half = len(weights) // 2
+    if not half:
         return series
-    w = Window.partitionBy(key).orderBy("frame")
-    near, whole = w.rowsBetween(-half, half), Window.partitionBy(key)
-    rows = series.withColumns({"i": F.row_number().over(w) - 1, "n_rows": F.count("*").over(whole)} | {f"{v}_near": F.collect_list(v).over(near) for v in values})
-    lead = F.greatest(F.lit(0), half - F.col("i"))
-    trail = F.greatest(F.lit(0), F.col("i") + half - (F.col("n_rows") - 1))
-    table = F.array(*[F.lit(x) for x in weights])
 
-    def mean(v: str) -> Column:
-        near_v = F.col(f"{v}_near")
-        full = F.concat(F.array_repeat(near_v[0], lead.cast("int")), near_v, F.array_repeat(F.element_at(near_v, -1), trail.cast("int")))
-        total = F.aggregate(F.zip_with(full, table, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-        return F.when(F.col("n_rows") < 3, F.col(v).cast("double")).otherwise(total).alias(v)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, first in recordings_of(batches, key):
+            sizes = np.diff(np.append(first, rows.num_rows))
+            low, size, at = np.repeat(first, sizes), np.repeat(sizes, sizes), np.arange(rows.num_rows)
+            columns = []
+            for v in values:
+                x = rows.column(v).to_numpy().astype(float)
+                total = np.zeros(len(x))
+                for k, weight in enumerate(weights):
+                    total += weight * x[np.clip(at + k - half, low, low + size - 1)]
+                columns.append(pa.array(np.where(size < 3, x, total), from_pandas=True))
+            yield from pa.Table.from_arrays([rows.column(key), rows.column("frame"), *columns], [key, "frame", *values]).to_batches()
 
-    return rows.select(key, "frame", *[mean(v) for v in values])
+    kinds = {f.name: f.dataType.simpleString() for f in series.schema}
+    dealt = series.select(key, "frame", *values).repartition(key).sortWithinPartitions(key, "frame")
+    return dealt.mapInArrow(run, f"{key} {kinds[key]}, frame {kinds['frame']}, " + ", ".join(f"{v} double" for v in values))
 
 
 def held(points: list[float], zone: float) -> list[float]:
-    """Points held until one leaves the band around the held value, which then moves along the band's edge."""
-    out, last = [], points[0] if points else 0.0
+    """The held value at each point: the one before it, clamped to the band of zone around the point."""
+    out: list[float] = []
     for x in points:
-        gap = x - last
-        if abs(gap) > zone:
-            last = x - math.copysign(zone, gap)
-        out.append(last)
+        out.append(min(max(out[-1], x - zone), x + zone) if out else x)
     return out
 
 

@@ -15,8 +15,11 @@ WINDOW_S, MAX_WORDS, BATCH, MAX_CHARS = 10.0, 12, 40, 600
 
 
 def main_speaker(spoken: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """(key, label, total): the speaker with most time; of equal ones the first to speak. Null speakers don't count."""
-    totals = spoken.filter("speaker is not null").groupBy(key, "speaker").agg(F.sum(F.col("end") - F.col("start")).alias("total"), F.min(F.struct(*order)).alias("first"))
+    """(key, label, total): the speaker with most time; of equal ones the first to speak. Null speakers don't count.
+
+    Totals are rounded to a millionth, so the order of their sums can't break a tie.
+    """
+    totals = spoken.filter("speaker is not null").groupBy(key, "speaker").agg(F.round(F.sum(F.col("end") - F.col("start")), 6).alias("total"), F.min(F.struct(*order)).alias("first"))
     w = Window.partitionBy(key).orderBy(F.desc("total"), "first")
     return totals.withColumn("rank", F.row_number().over(w)).filter("rank = 1").select(key, F.col("speaker").alias("label"), "total")
 
