@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from . import common
 
 RATE, TARGET_RATE, BLOCK = 8_000, 16_000, 64
+#: Samples that are widened at once.
+CHUNK = 1 << 20
+#: How media and PCM are stored.
+STORED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 #: WAV format tags (fixed by the format).
 ALAW, MULAW, ADPCM = 6, 7, 17
 #: IMA ADPCM step sizes and index changes (fixed values of the format).
@@ -67,14 +71,37 @@ def adpcm(data: np.ndarray, block: int = BLOCK) -> np.ndarray:
 
 
 def resample(pcm: np.ndarray, source: int = RATE, target: int = TARGET_RATE) -> np.ndarray:
-    """Linear interpolation in whole numbers; the last sample is held."""
+    """Linear interpolation in whole numbers, some samples at a time; the last sample is held."""
     if not len(pcm) or source == target:
         return pcm
-    n = len(pcm) * target // source
-    at = np.arange(n, dtype=np.int64) * source
-    left, part = at // target, at % target
-    x = pcm.astype(np.int64)
-    return ((x[left] * (target - part) + x[np.minimum(left + 1, len(x) - 1)] * part) // target).astype(np.int16)
+    out = np.empty(len(pcm) * target // source, np.int16)
+    for start in range(0, len(out), CHUNK):
+        at = np.arange(start, min(len(out), start + CHUNK), dtype=np.int64) * source
+        left, part = at // target, at % target
+        a, b = pcm[left].astype(np.int64), pcm[np.minimum(left + 1, len(pcm) - 1)].astype(np.int64)
+        out[start : start + CHUNK] = (a * (target - part) + b * part) // target
+    return out
+
+
+def interlaced(pcm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Even samples, and the floored mean of the two around each odd one (the last is held)."""
+    even, n = pcm[::2], len(pcm) // 2
+    return even, (even[:n].astype(np.int32) + np.append(even[1:], even[-1:])[:n]) >> 1
+
+
+def squeezed(pcm: np.ndarray) -> bytes:
+    """PCM without loss in a form that compresses well: even samples, then odd ones less the mean of their neighbours, modulo 2**16."""
+    even, mean = interlaced(pcm)
+    return even.astype("<i2").tobytes() + (pcm[1::2] - mean).astype("<i2").tobytes()
+
+
+def opened(data: bytes) -> np.ndarray:
+    """The PCM of squeezed bytes."""
+    x = np.frombuffer(data, "<i2")
+    out = np.empty(len(x), "<i2")
+    out[::2] = x[: len(x) - len(x) // 2]
+    out[1::2] = (x[len(x) - len(x) // 2 :] + interlaced(out)[1]).astype(np.int16)
+    return out
 
 
 def wav(payload: bytes, tag: int = MULAW, rate: int = RATE, block: int = BLOCK) -> bytes:
@@ -130,13 +157,18 @@ def store(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tag: int
 
         return fn
 
-    return common.saved(common.map_batches(rows, make, "doc_id long, n_bytes long, media binary"), path, compression="zstd")
+    return common.saved(common.map_batches(rows, make, "doc_id long, n_bytes long, media binary"), path, **STORED)
 
 
-def decoded(media: bytes, rate: int = TARGET_RATE) -> bytes:
-    """Little-endian 16-bit samples of a WAV file at the given rate."""
+def samples(media: bytes, rate: int = TARGET_RATE) -> np.ndarray:
+    """16-bit samples of a WAV file at the given rate."""
     tag, source, block, data = parsed(media)
-    return resample(expanded(tag, data, block), source, rate).astype("<i2").tobytes()
+    return resample(expanded(tag, data, block), source, rate)
+
+
+def decoded(media: bytes, rate: int = TARGET_RATE) -> bytes:
+    """samples() as little-endian bytes."""
+    return samples(media, rate).astype("<i2").tobytes()
 
 
 def to_pcm(media: DataFrame, rate: int = TARGET_RATE) -> DataFrame:
@@ -153,8 +185,16 @@ def to_pcm(media: DataFrame, rate: int = TARGET_RATE) -> DataFrame:
 
 
 def energy(pcm: np.ndarray) -> int:
-    x = pcm.astype(np.int64)
-    return int((x * x).sum()) // max(1, len(x))
+    """The mean square, in whole numbers; some samples are widened at a time."""
+    parts = (pcm[i : i + CHUNK].astype(np.int64) for i in range(0, len(pcm), CHUNK))
+    return sum(int((x * x).sum()) for x in parts) // max(1, len(pcm))
+
+
+def block_energies(blocks: np.ndarray) -> np.ndarray:
+    """The sum of squares of each row."""
+    rows = max(1, CHUNK // blocks.shape[1])
+    parts = (blocks[i : i + rows].astype(np.int64) for i in range(0, len(blocks), rows))
+    return np.concatenate([(x * x).sum(axis=1) for x in parts])
 
 
 DIGESTS = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string()}
@@ -162,26 +202,26 @@ DIGESTS_SQL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 str
 
 
 def store_pcm(media: DataFrame, path: str | None = None) -> DataFrame:
-    """Digests of each media value, the energies of its payload as other codes, and its resampled PCM, written to the shared folder and read from there."""
+    """Digests of each media value, the energies of its payload as other codes, and its resampled PCM (squeezed), written to the shared folder and read from there."""
 
     def make():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
             stored = [x.as_py() for x in batch.column("media")]
             data = [parsed(m)[3] for m in stored]
             sizes = np.array([len(d) // BLOCK for d in data])
-            blocks = adpcm(np.frombuffer(b"".join(data), np.uint8)).astype(np.int64)
-            sums = np.add.reduceat((blocks * blocks).sum(axis=1), np.cumsum(sizes) - sizes)
+            blocks = adpcm(np.frombuffer(b"".join(data), np.uint8))
+            sums = np.add.reduceat(block_energies(blocks), np.cumsum(sizes) - sizes)
             rows = []
             for m, payload, n, total in zip(stored, data, sizes, sums, strict=True):
                 others = f"alaw:{energy(expanded(ALAW, payload))};adpcm:{int(total) // (int(n) * blocks.shape[1])}"
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), others, decoded(m)))
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(m), hashlib.sha256(m).hexdigest(), others, squeezed(samples(m))))
             kinds = DIGESTS | {"others": pa.string(), "pcm": pa.binary()}
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], ["doc_id", "n_bytes", *kinds])
 
         return fn
 
-    return common.saved(common.map_batches(media.select("doc_id", "n_bytes", "media"), make, f"{DIGESTS_SQL}, others string, pcm binary", "media"), path, compression="zstd")
+    return common.saved(common.map_batches(media.select("doc_id", "n_bytes", "media"), make, f"{DIGESTS_SQL}, others string, pcm binary", "media"), path, **STORED)
 
 
 def features(media: DataFrame, path: str | None = None) -> DataFrame:
@@ -195,8 +235,8 @@ def features(media: DataFrame, path: str | None = None) -> DataFrame:
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = []
             for x, others in zip(batch.column("pcm"), batch.column("others").to_pylist(), strict=True):
-                stored = x.as_py()
-                pcm = np.frombuffer(stored, "<i2")
+                pcm = opened(x.as_py())
+                stored = pcm.tobytes()
                 peak, flips = int(np.abs(pcm.astype(np.int32)).max()), int((np.diff(np.signbit(pcm)) != 0).sum())
                 rows.append(f"pcm:{len(pcm)}:{zlib.crc32(stored):08x};energy:{energy(pcm)};peak:{peak};flips:{flips};{others}")
             names = ["doc_id", "n_bytes", *DIGESTS]
