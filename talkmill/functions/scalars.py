@@ -79,11 +79,11 @@ def blocks(pixels: Column) -> Column:
     return F.greatest(F.lit(2), F.least(F.lit(12), F.floor(pixels / 8))).cast("long")
 
 
-def crop_size(width: Column, height: Column, zoom: float) -> tuple[Column, Column]:
+def crop_size(width: Column, height: Column, zoom: float | Column) -> tuple[Column, Column]:
     """Whole-pixel crop of a share (0.15 to 1) of the width that keeps the aspect."""
-    share = min(max(zoom, 0.15), 1.0)
-    cw = rounded(share * width)
-    return F.least(cw, width), F.least(rounded(cw * height / width), height)
+    share = F.least(F.greatest(F.lit(zoom).cast("double"), F.lit(0.15)), F.lit(1.0))
+    cw = F.least(rounded(share * width), width)
+    return cw, F.least(rounded(cw * height / width), height)
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -13,6 +13,19 @@ SIM, MERGE, CLUSTER, RECENT = 0.45, 0.5, 0.5, 5
 SAMPLE, OPENING_S, OPENING_FRAMES = 400, 20.0, 60
 
 
+def identified(faces: DataFrame, key: str, pos: str, cluster: float = CLUSTER, merge: float = MERGE) -> tuple[DataFrame, DataFrame]:
+    """(ranked clusters, the main person's clusters) of each recording's sampled faces: agglomerated, ranked and merged."""
+    labelled = faces.drop("label").join(clustered(faces, key, pos, cluster), [key, pos])
+    rank = ranked(cluster_stats(labelled, [key]), [key])
+    return rank, merged_identity(rank, [key], merge)
+
+
+def located(faces: DataFrame, main: DataFrame, key: str, every: int, threshold: float = SIM) -> DataFrame:
+    """The faces of sampled frames that are the main person's, with sim; main is identified()'s second table."""
+    protos = main.select(key, F.col("centroid").alias("proto"))
+    return best_similarity(faces.filter(F.pmod("frame", F.lit(every)) == 0), protos, key).filter(F.col("sim") >= threshold)
+
+
 def spaced(first: Column, last: Column, n: Column) -> Column:
     """n evenly spaced whole numbers from first to last, truncated; first alone if n is 1."""
     step = F.when(n > 1, (last - first) / (n - 1)).otherwise(0.0)

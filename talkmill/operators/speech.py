@@ -24,6 +24,38 @@ def main_speaker(spoken: DataFrame, key: str, order: list[str]) -> DataFrame:
     return totals.withColumn("rank", F.row_number().over(w)).filter("rank = 1").select(key, F.col("speaker").alias("label"), "total")
 
 
+def batch_replies(items: DataFrame, key: str, pos: str, ask: Callable[[list[dict]], str], size: int = BATCH) -> DataFrame:
+    """(key, batch, items, reply): an outside classifier asked once for each batch of a recording's candidates, in order.
+
+    ask gets the batch's items (dicts of pos, student and follows) and returns the text of
+    its reply; a batch is bounded, so a row holds it.
+    """
+    rows = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("pos"), "student", "follows")))
+    dealt = batched(items, key, pos, size).groupBy(key, "batch").agg(rows.alias("items"))
+
+    @F.pandas_udf("string")
+    def reply(batches: pd.Series) -> pd.Series:
+        return pd.Series([ask([dict(x) for x in batch]) for batch in batches], dtype=object)
+
+    return dealt.withColumn("reply", reply("items"))
+
+
+REPLY = "array<struct<index: bigint, is_repeat_back: boolean, text: string>>"
+
+
+def read_replies(replies: DataFrame, key: str, pos: str) -> DataFrame:
+    """(key, pos, is_repeat, text): the verdicts of the replies that can be read; an index that was not asked doesn't count."""
+    rows = replies.select(key, "items", F.explode(F.from_json("reply", REPLY)).alias("r"))
+    asked = rows.filter(F.array_contains(F.transform("items", lambda x: x["pos"]), F.col("r.index")))
+    return asked.select(key, F.col("r.index").alias(pos), F.coalesce("r.is_repeat_back", F.lit(False)).alias("is_repeat"), F.col("r.text").alias("text"))
+
+
+def skipped_batches(replies: DataFrame, key: str) -> DataFrame:
+    """(key, batches, skipped, items_skipped): replies that can't be read, counted for each recording."""
+    bad = F.try_parse_json("reply").isNull()
+    return replies.groupBy(key).agg(F.count("*").alias("batches"), F.count_if(bad).alias("skipped"), F.sum(F.when(bad, F.size("items")).otherwise(0)).cast("long").alias("items_skipped"))
+
+
 def others(segments: DataFrame, label: Column) -> DataFrame:
     """Segments that are not the label's; a missing speaker is someone else."""
     return segments.filter(~F.col("speaker").eqNullSafe(label))
@@ -32,8 +64,9 @@ def others(segments: DataFrame, label: Column) -> DataFrame:
 def repeat_back_candidates(segments: DataFrame, labels: DataFrame, key: str, pos: str, window: float = WINDOW_S, max_words: int = MAX_WORDS) -> DataFrame:
     """(key, pos, student, follows): short segments of others, and what the main speaker says within a window after them.
 
-    Starts must not decrease with pos. The window is a range frame over the main
-    speaker's segments, so a recording is sorted once and not joined with itself.
+    Starts must not decrease with pos. Segments are dealt by (recording, bin of the
+    window's width): a short one meets the main speaker's in the bins that its window
+    touches, so a long recording is split.
     """
     own = F.col("speaker").eqNullSafe(F.col("label"))
     seen = segments.join(labels.select(key, "label"), key, "left").withColumn("own", F.coalesce(own, F.lit(False)))
@@ -79,7 +112,7 @@ def merged_verdicts(segments: DataFrame, verdicts: DataFrame, key: str, pos: str
 
     The count is checked per recording when the rows are used, in the same join.
     """
-    joined = segments.join(verdicts.select(key, pos, "is_question", "question", F.lit(True).alias("had")), [key, pos], "full").withColumn("known", F.col("text").isNotNull())
+    joined = segments.withColumn("known", F.lit(True)).join(verdicts.select(key, pos, "is_question", "question", F.lit(True).alias("had")), [key, pos], "full")
     fail = F.raise_error(F.lit("verdicts and segments don't match")).cast("boolean")
     good = joined.withColumn("is_question", F.when(F.col("had") & F.col("known"), F.col("is_question")).otherwise(fail))
     return good.withColumn("text", F.when(F.col("is_question"), F.col("question")).otherwise(F.col("text"))).drop("question", "had", "known")

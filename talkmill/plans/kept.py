@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import scalars as fn
+from ..functions import layout, scalars as fn
 from ..operators import media as med
 from ..sources import readers as rd
 from . import stages, views
@@ -205,10 +205,10 @@ def card_sounds(spark, d) -> DataFrame:
     cards = views.segments(spark, d).filter("flag or pos % 2 = 0")
     length = F.col("end") - F.col("start")
     out = med.card_sounds(cards, "rec", "start", 2)
-    return out.select("rec", "pos", "delay_ms", "sounds", F.round(F.least(F.lit(0.40), length / 4), 6).alias("fade"), F.least(F.lit(800.0), length * 1000 / 4).cast("long").alias("sound_delay"))
+    return out.select("rec", "pos", "delay_ms", "sounds", F.round(layout.card_fade(length), 6).alias("fade"), layout.card_sound_delay(length).alias("sound_delay"))
 
 
-CORNERS = {"bottom-right": (1, 1), "top-right": (1, 0), "bottom-left": (0, 1), "top-left": (0, 0)}
+CORNERS = layout.CORNERS
 
 
 @query(f"""WITH corners(position, r, b) AS (VALUES {", ".join(f"('{k}', {r}, {b})" for k, (r, b) in CORNERS.items())}),
@@ -217,19 +217,18 @@ SELECT id, position, w AS pip_width, h AS pip_height, CASE WHEN r = 1 THEN 1920
 def pip_geometry(spark, d) -> DataFrame:
     """F16: where a picture of a width goes in each corner."""
     w = F.col("p_size").cast("long") * 16 + 5
-    h = F.floor(w * 9 / 16).cast("long")
+    h = layout.pip_height(w)
     corners = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(r).alias("r"), F.lit(b).alias("b")) for k, (r, b) in CORNERS.items()])
     rows = views.table(spark, d, "part").select(F.col("p_partkey").alias("id"), w.alias("pip_width"), h.alias("pip_height"), F.inline(corners))
-    return rows.select("id", "position", "pip_width", "pip_height", F.when(F.col("r") == 1, 1920 - F.col("pip_width") - 30).otherwise(30).alias("x"), F.when(F.col("b") == 1, 1080 - F.col("pip_height") - 30).otherwise(30).alias("y"))
+    return rows.select("id", "position", "pip_width", "pip_height", layout.pip_place(F.col("pip_width"), 1920, F.col("r")).alias("x"), layout.pip_place(F.col("pip_height"), 1080, F.col("b")).alias("y"))
 
 
 @query("""SELECT p_partkey AS id, least(CAST(round_even(least(greatest(p_size / 40, 0.15), 1) * 1280, 0) AS BIGINT), 1280) AS cw,
   least(CAST(round_even(least(CAST(round_even(least(greatest(p_size / 40, 0.15), 1) * 1280, 0) AS BIGINT), 1280) * 720 / 1280, 0) AS BIGINT), 720) AS ch FROM part""")
 def crop_sizes(spark, d) -> DataFrame:
     """F17 for each zoom."""
-    zoom = F.least(F.greatest(F.col("p_size") / 40, F.lit(0.15)), F.lit(1.0))
-    cw = F.least(fn.rounded(zoom * 1280), F.lit(1280))
-    return views.table(spark, d, "part").select(F.col("p_partkey").alias("id"), cw.cast("long").alias("cw"), F.least(fn.rounded(cw * 720 / 1280), F.lit(720)).cast("long").alias("ch"))
+    cw, ch = fn.crop_size(F.lit(1280), F.lit(720), F.col("p_size") / 40)
+    return views.table(spark, d, "part").select(F.col("p_partkey").alias("id"), cw.cast("long").alias("cw"), ch.cast("long").alias("ch"))
 
 
 @query("""SELECT o_orderkey AS rec, k, c, round(o_totalprice / k / 17.63 / c / 60, 6) AS minutes FROM orders, (SELECT unnest([1, 2, 4, 8]) AS k), (SELECT unnest([1, 8]) AS c)""")
@@ -237,7 +236,7 @@ def cost_model(spark, d) -> DataFrame:
     """minutes of inference by sampling step and chunks."""
     options = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(c).alias("c")) for k in (1, 2, 4, 8) for c in (1, 8)])
     rows = views.table(spark, d, "orders").select(F.col("o_orderkey").alias("rec"), "o_totalprice", F.inline(options))
-    return rows.select("rec", "k", "c", F.round(F.col("o_totalprice") / F.col("k") / 17.63 / F.col("c") / 60, 6).alias("minutes"))
+    return rows.select("rec", "k", "c", F.round(layout.inference_minutes(F.col("o_totalprice"), F.col("k"), F.col("c")), 6).alias("minutes"))
 
 
 @query(f"""WITH {SEGMENTS}, done AS (SELECT rec, pos, sum("end" - start) OVER (PARTITION BY rec ORDER BY pos) AS done, sum("end" - start) OVER (PARTITION BY rec) AS whole, pos * 0.5 + 1 AS elapsed FROM segments)
@@ -247,8 +246,8 @@ def throughput(spark, d) -> DataFrame:
     w = views.Window.partitionBy("rec")
     length = F.col("end") - F.col("start")
     rows = views.segments(spark, d).select("rec", "pos", F.sum(length).over(w.orderBy("pos")).alias("done"), F.sum(length).over(w).alias("whole"), (F.col("pos") * 0.5 + 1).alias("elapsed")).filter("done > 0")
-    rate = F.col("done") / F.col("elapsed")
-    return rows.select("rec", "pos", F.round("done", 6).alias("done"), F.round(rate, 6).alias("rate"), F.round((F.col("whole") - F.col("done")) / rate / 60, 6).alias("eta_min"))
+    at = layout.progress(F.col("done"), F.col("whole"), F.col("elapsed"))
+    return rows.select("rec", "pos", F.round("done", 6).alias("done"), *[F.round(c, 6).alias(k) for k, c in at.items()])
 
 
 ASSET = """SELECT o_orderkey AS n, printf('s/%d', o_orderkey) AS session FROM orders"""

@@ -61,8 +61,10 @@ def words_of(segments: DataFrame, key: str) -> DataFrame:
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """JSON rows, a line for each recording."""
-    manifest.write.mode("overwrite").json(path)
+    """A {"lectures": [...]} file for each course, in folders by the course, as read_manifest() reads them; a course's recordings bound a file."""
+    rows = F.array_sort(F.collect_list(F.struct(*manifest.columns)), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    files = manifest.groupBy(safe_key(F.coalesce("course", F.lit(""))).alias("folder")).agg(rows.alias("lectures"))
+    files.write.mode("overwrite").partitionBy("folder").json(path)
 
 
 def write_sidecars(manifest: DataFrame, path: str) -> None:
