@@ -223,7 +223,7 @@ def test_pcm_is_stored(spark, tmp_path):
     df = spark.createDataFrame([(1, "hello"), (2, None), (3, "é" * 640)], "doc_id long, text string")
     media = telephony.store(df)
     got = {r.doc_id: r.feature for r in telephony.features(media, str(tmp_path / "pcm")).collect()}
-    held = {r.doc_id: bytes(r.pcm) for r in spark.read.parquet(str(tmp_path / "pcm")).collect()}
+    held = {r.doc_id: telephony.opened(bytes(r.pcm)).tobytes() for r in spark.read.parquet(str(tmp_path / "pcm")).collect()}
     assert held == {r.doc_id: bytes(r.pcm) for r in telephony.to_pcm(media).collect()}
     import zlib
 
