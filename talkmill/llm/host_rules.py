@@ -152,9 +152,9 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows of docs, with all their columns, that neither a rule nor their host's verdict rejects.
 
-    Rows are written with their metrics, so a text is measured once.
+    Texts are measured twice: writing them with their metrics would take their size on disk.
     """
-    failed = failures(common.saved(measure(docs, host, text)))
+    failed = failures(measure(docs, host, text))
     return with_verdicts(failed, host_verdicts(failed.drop("row"), max_rate)).filter("kept").select("row.*")
 
 
