@@ -125,36 +125,41 @@ def sig_matrix(column: pa.Array) -> np.ndarray:
 
 
 def nodes(classes: DataFrame, level: int) -> DataFrame:
-    """(parent, node, doc_id): the node of each class at a step of each tree, and the one above it."""
+    """(tree, node, doc_id): the node of each class at a step of its open trees; a class without that column is in every tree."""
+    columns = [c for c in ("doc_id", "sig", "trees") if c in classes.columns]
 
     def run(batches):
         for batch in batches:
             sig = sig_matrix(batch.column("sig"))
-            path = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=np.uint64)), sig.shape[:2])
+            open_trees = batch.column("trees").to_pylist() if "trees" in columns else [range(TREES)] * len(sig)
+            row = np.repeat(np.arange(len(sig)), [len(x) for x in open_trees])
+            tree = np.fromiter(chain.from_iterable(open_trees), np.int32, len(row))
+            sig = sig[row, tree]
+            path = mix((tree + 1).astype(np.uint64))
             for depth in range(DEPTHS[level - 1]):
-                if level > 1 and depth == DEPTHS[level - 2] or not depth:
-                    parent = path
-                path = mix(path * PRIME + sig[:, :, depth] + np.uint64(depth + 1))
-            ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), TREES)
-            yield pa.RecordBatch.from_arrays([pa.array(x.ravel().view(np.int64)) for x in (np.ascontiguousarray(parent), path)] + [pa.array(ids)], ["parent", "node", "doc_id"])
+                path = mix(path * PRIME + sig[:, depth] + np.uint64(depth + 1))
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
+            yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(path.view(np.int64)), pa.array(ids)], ["tree", "node", "doc_id"])
 
-    return classes.select("doc_id", "sig").mapInArrow(run, "parent long, node long, doc_id long")
+    return classes.select(*columns).mapInArrow(run, "tree int, node long, doc_id long")
 
 
 def members(classes: DataFrame) -> DataFrame:
-    """(node, doc_id, n, pivot, level) of every node with two classes or more, down to the step where none is large."""
-    large, out = None, []
+    """(node, doc_id, n, pivot, level) of every node with two classes or more, down to the step where none is large.
+
+    A class goes on to the next step in one row with those of its trees where its node is large.
+    """
+    out = []
     for level in range(1, len(DEPTHS) + 1):
         rows = nodes(classes, level)
-        if large is not None:
-            rows = common.join_small(rows, large, "parent", "left_semi")
-        rows = rows.select("node", "doc_id")
         counts = common.saved(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("pivot")).filter("n > 1"))
         total = counts.agg(F.sum("n")).first()[0] or 0
-        out.append(common.saved(common.join_skewed(rows, counts, ["node"], total).select("node", "doc_id", "n", "pivot", F.lit(level).alias("level"))))
-        large = counts.filter(F.col("n") > LIMIT).select(F.col("node").alias("parent"))
-        if not common.some(large):
+        found = common.saved(common.join_skewed(rows, counts, ["node"], total).select("tree", "node", "doc_id", "n", "pivot", F.lit(level).alias("level")))
+        out.append(found.drop("tree"))
+        if level == len(DEPTHS) or not common.some(counts.filter(F.col("n") > LIMIT)):
             break
+        left = common.saved(found.filter(F.col("n") > LIMIT).groupBy("doc_id").agg(F.collect_set("tree").alias("trees")))
+        classes = common.saved(common.join_small(classes.select("doc_id", "sig"), left, "doc_id", "inner"))
     found = out[0]
     for one in out[1:]:
         found = found.unionByName(one)
