@@ -270,8 +270,9 @@ def nearest(edges: DataFrame) -> DataFrame:
 
 
 def linked(sets: list[np.ndarray], labels: np.ndarray, asked: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """One pair of rows, one of them asked, for each two labels that similar sets join.
+    """Pairs of rows, one of them asked, that join the labels which similar sets join, directly or by way of others.
 
+    All pairs are compared; of those that are similar a forest over the labels is returned.
     Shingles are counted range by range of their hashes, so memory follows a range and not all sets.
     """
     sizes = np.array([len(x) for x in sets], np.float32)
@@ -292,8 +293,26 @@ def linked(sets: list[np.ndarray], labels: np.ndarray, asked: np.ndarray, percen
             both += held @ held.T
     hit = (both > 0) & (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)) & (labels[:, None] != labels[None, :]) & (asked[:, None] | asked[None, :])
     i, j = np.nonzero(np.triu(hit))
-    _, one = np.unique(np.sort(np.stack([labels[i], labels[j]], axis=1), axis=1), axis=0, return_index=True) if len(i) else (None, [])
-    return [(int(i[k]), int(j[k])) for k in one]
+    return [(int(i[k]), int(j[k])) for k in spanning(labels, i, j)]
+
+
+def spanning(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[int]:
+    """Places in the pairs of rows i and j that span the components of their labels: fewer than there are labels."""
+    kinds, kind = np.unique(labels, return_inverse=True)
+    pair = np.full((len(kinds), len(kinds)), -1)
+    pair[kind[i], kind[j]] = pair[kind[j], kind[i]] = np.arange(len(i))
+    left = np.arange(len(kinds))
+    out, queue = [], []
+    while len(left):
+        if queue:
+            at = queue.pop()
+        else:
+            at, left = left[0], left[1:]
+        near = pair[at, left] >= 0
+        out += pair[at, left[near]].tolist()
+        queue += left[near].tolist()
+        left = left[~near]
+    return out
 
 
 def cluster_links(edges: DataFrame, labels: DataFrame, sized: DataFrame, docs: DataFrame, k: int, percent: int, doc_id: str, text: str) -> DataFrame:

@@ -133,3 +133,15 @@ def test_repeats_equal_brute_force(spark, monkeypatch):
         assert {r.doc_id: r.text for r in out.collect()} == {d: None if t is None else w.decode("utf-8", "replace") for (d, t), w in zip(docs, want, strict=True)}
     assert {r.doc_id: (r.n_bytes, r.n_bytes - r.n_removed) for r in repeats.digests(df).collect()} == {d: (len((t or "").encode()), len(w)) for (d, t), w in zip(docs, want, strict=True)}
     assert repeats.digests(df.limit(0)).count() == 0
+
+
+def test_links_of_a_block_span_the_labels_of_a_large_group():
+    n = 60
+    i, j = np.nonzero(np.triu(np.ones((n, n), bool), 1))
+    whole = chosen_path.spanning(np.arange(n) // 2, i, j)
+    assert len(whole) == n // 2 - 1
+    reached = {0}
+    for _ in range(n):
+        reached |= {x // 2 for p in whole for x in (i[p], j[p]) if {i[p] // 2, j[p] // 2} & reached}
+    assert reached == set(range(n // 2))
+    assert chosen_path.spanning(np.array([3, 4]), i[:0], j[:0]) == []
