@@ -18,11 +18,9 @@ TOKENIZERS = os.environ.get("TALKMILL_TOKENIZERS", "/opt/tokenizers")
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(common.text_bytes(), 256).alias("text_sha256"))
-    ids = sentence_pieces.encode(docs, model, carry=("doc_id", "text_sha256"))
-    ids = ids.select("doc_id", "text_sha256", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_xxhash64"), "ids")
-    back = sentence_pieces.decode(ids, model, carry=("doc_id", "text_sha256", "n_tokens", "ids_xxhash64"))
+    ids = sentence_pieces.encode(docs, model, carry=("doc_id", "text_sha256"), back=True)
     decoded = F.sha2(F.col("text").cast("binary"), 256)
-    return back.select("doc_id", "n_tokens", "ids_xxhash64", decoded.alias("decoded_sha256"), (decoded == F.col("text_sha256")).alias("round_trip"))
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_xxhash64"), decoded.alias("decoded_sha256"), (decoded == F.col("text_sha256")).alias("round_trip"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

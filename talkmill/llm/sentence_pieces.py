@@ -217,8 +217,12 @@ def load(path: str) -> Model:
     return Model(path)
 
 
-def encode(df: DataFrame, model: str, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """carry columns and ids array<int>."""
+def encode(df: DataFrame, model: str, text: str = "text", carry: tuple[str, ...] = ("doc_id",), back: bool = False) -> DataFrame:
+    """carry columns and ids array<int>.
+
+    back: also text string, what the ids decode to as decode() gives it, from the same worker:
+    a second pass would take a second worker for each task, with a store of words of its own.
+    """
     rows = df.select(*carry, common.text_bytes(text).alias("data"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("data").schema)
 
@@ -228,13 +232,15 @@ def encode(df: DataFrame, model: str, text: str = "text", carry: tuple[str, ...]
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = m.encode([x.as_py().decode("utf-8", "replace") for x in batch.column("data")])
             ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
-            kept = batch.select(carry)
-            return pa.RecordBatch.from_arrays([*kept.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], [*carry, "ids"])
+            values = np.frombuffer(b"".join(found), "<i4")
+            columns = [*batch.select(carry).columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))]
+            if back:
+                columns.append(pa.array([m.decode(values[a:b]) for a, b in zip(ends, ends[1:])], pa.string()))
+            return pa.RecordBatch.from_arrays(columns, [*carry, "ids", *["text"] * back])
 
         return fn
 
-    return common.map_batches(rows, make, f"{schema}, ids array<int>")
+    return common.map_batches(rows, make, f"{schema}, ids array<int>{', text string' * back}")
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -53,6 +53,20 @@ def test_encode_and_decode_frames(spark):
     assert sentence_pieces.encode(df.limit(0), f"{T}/piece_bpe_32k.model").count() == 0
 
 
+def test_round_trip_takes_one_worker_for_each_task(spark, tmp_path):
+    """The query's ids and decoded texts are those of two passes, and come from one."""
+    model = f"{T}/piece_bpe_32k.model"
+    rows = [(i, t) for i, t in enumerate(texts(30, 5))] + [(900, None), (None, "null id"), (0, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    once, ids = sentence_pieces.encode(df, model, back=True), sentence_pieces.encode(df, model)
+    assert Counter((r.doc_id, *r.ids) for r in once.collect()) == Counter((r.doc_id, *r.ids) for r in ids.collect())
+    assert Counter((r.doc_id, r.text) for r in once.collect()) == Counter((r.doc_id, r.text) for r in sentence_pieces.decode(ids, model).collect())
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    asked = queries.op1_sentence_pieces(spark, str(tmp_path))
+    assert asked._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert asked.count() == len(rows)
+
+
 def test_word_ids_equal_the_library():
     from tokenizers import Tokenizer
 
