@@ -147,11 +147,13 @@ def nodes(classes: DataFrame, level: int) -> DataFrame:
 def members(classes: DataFrame) -> DataFrame:
     """(node, doc_id, n, pivot, level) of every node with two classes or more, down to the step where none is large.
 
-    A class goes on to the next step in one row with those of its trees where its node is large.
+    A class goes on to the next step in one row with those of its trees where its node is large,
+    so a step makes a row for each class and tree at most; those of the later steps, which are
+    few but for large groups, are made once and written.
     """
     out = []
     for level in range(1, len(DEPTHS) + 1):
-        rows = nodes(classes, level)
+        rows = nodes(classes, level) if level == 1 else common.saved(nodes(classes, level))
         counts = common.saved(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("pivot")).filter("n > 1"))
         total = counts.agg(F.sum("n")).first()[0] or 0
         found = common.saved(common.join_skewed(rows, counts, ["node"], total).select("tree", "node", "doc_id", "n", "pivot", F.lit(level).alias("level")))

@@ -55,6 +55,31 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert got == brute.near_components(docs, 4, 80)
 
 
+def test_a_step_makes_a_row_for_each_class_and_tree(spark, monkeypatch):
+    """A large group's nodes are made once in each step, and their number follows the group's size, not its square."""
+    monkeypatch.setattr(chosen_path, "LIMIT", 8)
+    plain, made = chosen_path.nodes, {}
+
+    def counted(classes, level):
+        made[level] = rows = spark.sparkContext.accumulator(0)
+
+        def run(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield batch
+
+        out = plain(classes, level)
+        return out.mapInArrow(run, out.schema)
+
+    monkeypatch.setattr(chosen_path, "nodes", counted)
+    for n in (20, 40):
+        sig = np.full((chosen_path.TREES, chosen_path.LEVELS), 7, np.uint32).tobytes()
+        found = chosen_path.members(spark.createDataFrame([(i, sig) for i in range(n)], "doc_id long, sig binary"))
+        last = len(chosen_path.DEPTHS)
+        assert found.filter(f"level = {last}").count() == n * chosen_path.TREES
+        assert [made[level].value for level in range(2, last + 1)] == [n * chosen_path.TREES] * (last - 1)
+
+
 def test_large_nodes_are_branched_by_few_tokens(spark, monkeypatch):
     """Classes that have three tokens in common, two of them also the next (two) and none all six."""
     monkeypatch.setattr(chosen_path, "LIMIT", 4)
