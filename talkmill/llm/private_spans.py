@@ -134,6 +134,12 @@ def joined(some: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in some)
 
 
+def read(batch: pa.RecordBatch) -> list[str]:
+    """The texts of a batch. Nothing is kept between batches here, and what other operators keep in this worker is emptied."""
+    common.hold("private_spans", lambda: None)
+    return [x.as_py().decode("utf-8", "replace") for x in batch.column("data")]
+
+
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, spans array<struct<start, end, kind>>)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), common.text_bytes(text).alias("data"))
@@ -141,7 +147,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     def make():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [[{"start": a, "end": b, "kind": k} for a, b, k in spans(x.as_py().decode("utf-8", "replace"))] for x in batch.column("data")]
+            found = [[{"start": a, "end": b, "kind": k} for a, b, k in spans(x)] for x in read(batch)]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "spans"])
 
         return fn
@@ -171,7 +177,7 @@ def redact(docs: DataFrame, text: str = "text", kinds: tuple[str, ...] = PRIVATE
 
     def make():
         def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [None if none else masked(x.as_py().decode("utf-8", "replace"), kinds) for x, none in zip(batch.column("data"), batch.column("none").to_pylist(), strict=True)]
+            texts = [None if none else masked(x, kinds) for x, none in zip(read(batch), batch.column("none").to_pylist(), strict=True)]
             return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
         return fn

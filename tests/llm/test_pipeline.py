@@ -1,9 +1,10 @@
 import os
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from talkmill.llm import private_spans
+from talkmill.llm import chosen_path, common, private_spans
 from tests.llm import brute
 from tests.llm.test_hosts_and_urls import host_kept
 
@@ -44,3 +45,15 @@ def test_stages_take_odd_rows(spark):
             if name != "pack":
                 assert now.columns == docs.columns
         assert (now.count() > 0) == (start is docs)
+
+
+@pytest.mark.parametrize("stage", [private_spans.find, private_spans.redact])
+def test_private_empties_the_stores_of_stages_before_it(spark, monkeypatch, stage):
+    made = []
+    monkeypatch.setattr(common, "map_batches", lambda df, make, schema, *rest: made.append(make) or spark.createDataFrame([], schema))
+    stage(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    chosen_path.shingle_sets([b"one two three four five six"])
+    assert chosen_path._words
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "row": {"doc_id": 1}, "none": False, "data": b"mail a@b.co"}])
+    assert made[0]()(batch).num_rows == 1
+    assert not chosen_path._words
