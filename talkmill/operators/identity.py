@@ -35,15 +35,32 @@ def spaced(first: Column, last: Column, n: Column) -> Column:
 def sample_frames(recordings: DataFrame, key: str, frames: int = SAMPLE, opening_s: float = OPENING_S, opening_frames: int = OPENING_FRAMES) -> DataFrame:
     """(key, frame, is_uniform): an even sample of each recording and a dense one of its opening, without repeats.
 
-    recordings has start_frame, end_frame and fps.
+    recordings has start_frame, end_frame and fps. They are dealt to all tasks first,
+    as a few rows give many frames. No list is carried with the frames: the even
+    sample's steps are of a frame at least, so a frame that it has lies near the place
+    that its distance from the first gives.
     """
-    first, last = F.col("start_frame"), F.col("end_frame") - 1
-    n = F.least(F.lit(frames), F.greatest(F.lit(1), F.col("end_frame") - F.col("start_frame"))).cast("long")
-    opening = F.least(last, first + (opening_s * F.col("fps")).cast("long"))
-    extra = F.least(F.lit(opening_frames), opening - first).cast("long")
-    rows = recordings.select(key, spaced(first, last, n).alias("uniform"), F.when(opening > first, spaced(first, opening, extra)).otherwise(F.array().cast("array<bigint>")).alias("opening"))
-    all_frames = F.array_distinct(F.concat("uniform", "opening"))
-    return rows.select(key, "uniform", F.explode(all_frames).alias("frame")).select(key, "frame", F.array_contains("uniform", F.col("frame")).alias("is_uniform"))
+    c, spark = F.col, recordings.sparkSession
+    first, last = c("start_frame"), c("end_frame") - 1
+    n = F.greatest(F.least(F.lit(frames), F.greatest(F.lit(1), c("end_frame") - c("start_frame"))), F.lit(1)).cast("long")
+    opening = F.least(last, first + (opening_s * c("fps")).cast("long"))
+    extra = F.when(opening > first, F.greatest(F.least(F.lit(opening_frames), opening - first), F.lit(1))).otherwise(0).cast("long")
+    tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sized = recordings.filter(first.isNotNull()).select(key, first.alias("__first"), last.alias("__last"), n.alias("__n"), opening.alias("__end"), extra.alias("__extra"))
+    step = lambda last, n: F.when(n > 1, (last - c("__first")) / F.greatest(n - 1, F.lit(1))).otherwise(0.0)
+    dealt = sized.select("*", step(c("__last"), c("__n")).alias("__step"), step(c("__end"), c("__extra")).alias("__short")).repartition(tasks, key)
+    place = lambda last, n, step, i: F.when((i == c(n) - 1) & (c(n) > 1), c(last).cast("long")).otherwise((c("__first") + i * c(step)).cast("long"))
+    even = lambda i: place("__last", "__n", "__step", i)
+    dense = lambda i: place("__end", "__extra", "__short", i)
+    counted = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), c(n) - 1)).alias("__i")
+    i = c("__i")
+    uniform = dealt.select("*", counted("__n")).filter((i == 0) | (even(i) != even(i - 1))).select(key, even(i).alias("frame"), F.lit(True).alias("is_uniform"))
+    # a generator, so that the frame is not worked out again in each of the tests below
+    rest = dealt.filter("__extra > 0").select("*", counted("__extra")).filter((i == 0) | (dense(i) != dense(i - 1))).select("*", F.explode(F.array(dense(i))).alias("frame"))
+    rest = rest.select("*", F.explode(F.array(F.floor((c("frame") - c("__first")) / F.greatest("__step", F.lit(1.0))))).alias("__near"))
+    seen = [even(F.least(F.greatest(c("__near") + k, F.lit(0)), c("__n") - 1)) == c("frame") for k in (-1, 0, 1, 2)]
+    rest = rest.filter(~(seen[0] | seen[1] | seen[2] | seen[3])).select(key, "frame", F.lit(False).alias("is_uniform"))
+    return uniform.unionByName(rest)
 
 
 def chunk_bounds(recordings: DataFrame, key: str, chunks: int) -> DataFrame:
