@@ -82,9 +82,18 @@ def best_artifact(wanted: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
 
     Without one the default candidate is named, with present false.
     """
-    joined = wanted.join(catalog.select(key, F.col("artifact").alias("candidate"), F.lit(True).alias("present")), [key, "candidate"], "left")
-    w = Window.partitionBy(key, "want").orderBy(F.coalesce("present", F.lit(False)).desc(), F.when(F.col("present"), F.col("priority")), F.col("is_default").desc(), "priority")
-    return joined.withColumn("rank", F.row_number().over(w)).filter("rank = 1").select(key, "want", F.col("candidate").alias("artifact"), F.coalesce("present", F.lit(False)).alias("present"))
+    options = wanted.groupBy(key, "want").agg(F.collect_list(F.struct("candidate", "priority", "is_default")).alias("options"))
+    have = catalog.groupBy(key).agg(F.collect_set("artifact").alias("existing"))
+    rows = options.join(have, key, "left").withColumn("existing", F.coalesce("existing", F.array().cast("array<string>")))
+    return rows.select(key, "want", first_option(F.col("options"), F.col("existing")).alias("b")).select(key, "want", "b.artifact", "b.present")
+
+
+def first_option(options: Column, existing: Column) -> Column:
+    """(artifact, present) of the first of a want's options (candidate, priority, is_default) whose name is in existing, else of the default."""
+    present = lambda o: F.coalesce(F.array_contains(existing, o["candidate"]), F.lit(False))
+    ordered = F.transform(options, lambda o: F.struct((~present(o)).alias("absent"), F.when(present(o), o["priority"]).alias("at"), (~o["is_default"]).alias("other"), o["priority"].alias("priority"), o["candidate"].alias("candidate")))
+    best = F.array_min(ordered)
+    return F.struct(best["candidate"].alias("artifact"), (~best["absent"]).alias("present"))
 
 
 def publishable(best: DataFrame, key: str, allow: bool = False) -> DataFrame:

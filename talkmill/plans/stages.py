@@ -78,12 +78,30 @@ def sweep(media: DataFrame, key: str, checked: DataFrame) -> DataFrame:
 
     media has a row for each artifact of a recording: path_exists, size, duration and so on.
     """
+    facts = F.struct(*[c for c in media.columns if c != key])
+    return sweep_lists(media.groupBy(key).agg(F.collect_list(facts).alias("artifacts")), key, checked)
+
+
+def sweep_lists(recordings: DataFrame, key: str, checked: DataFrame) -> DataFrame:
+    """sweep() of recordings (key, artifacts) that hold their artifacts' rows as a list.
+
+    References and the outputs of a stage are looked up in the recording's own list, so
+    recordings are joined with nothing but the checks.
+    """
     from ..operators.media import problems
 
-    refs = media.select(key, F.col("artifact").alias("reference"), F.when(F.col("path_exists"), F.col("size")).alias("ref_size"), F.col("duration").alias("ref_duration"))
-    rows = media.join(F.broadcast(checked), "artifact").join(refs, [key, "reference"], "left").withColumn("wants_ref", F.col("reference").isNotNull())
-    begun = rows.filter("path_exists").select(key, "stage").distinct()
-    due = rows.filter("path_exists or not optional").join(begun, [key, "stage"], "left_semi")
+    c = F.col
+    outputs = checked.groupBy("stage").agg(F.collect_list("artifact").alias("__outputs"))
+    rules = checked.join(F.broadcast(outputs), "stage")
+    # generators, so that a list is not made again for each of its uses below
+    lists = recordings.filter(c(key).isNotNull()).select(key, F.explode(F.array("artifacts")).alias("__all"))
+    begun = F.transform(F.filter("__all", lambda a: a["path_exists"]), lambda a: a["artifact"])
+    rows = lists.select(key, "__all", F.explode(F.array(begun)).alias("__begun")).select(key, "__all", "__begun", F.inline("__all"))
+    rows = rows.join(F.broadcast(rules), "artifact").filter("(path_exists or not optional) and arrays_overlap(__begun, __outputs)")
+    refs = F.when(c("reference").isNotNull(), F.filter("__all", lambda a: a["artifact"] == c("reference")))
+    rows = rows.withColumn("__refs", refs).drop("__all", "__begun", "__outputs")
+    due = rows.select("*", F.explode_outer("__refs").alias("__ref")).drop("__refs")
+    due = due.withColumns({"wants_ref": c("reference").isNotNull(), "ref_size": F.when(c("__ref.path_exists"), c("__ref.size")), "ref_duration": c("__ref.duration")})
     return due.select(key, "stage", "artifact", problems(due).alias("problems"))
 
 

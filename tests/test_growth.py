@@ -3,6 +3,10 @@
 import random
 
 from talkmill.operators import identity as idn
+from talkmill.operators import media as med
+from talkmill.plans import stages
+
+DIR = "/root/testdata/sf0.001"
 
 
 def plan(df):
@@ -25,3 +29,32 @@ def test_samples_carry_no_list(spark):
         want += [(rec, f, f in uniform) for f in dict.fromkeys(uniform + dense)]
     assert sorted((r.rec, r.frame, r.is_uniform) for r in df.collect()) == sorted(want)
     assert "array_contains" not in plan(df)
+
+
+def test_a_sweep_joins_recordings_with_the_checks_only(spark):
+    cols = "rec long, artifact string, path_exists boolean, size long, duration double, has_video boolean, has_audio boolean, n_frames long"
+    rnd = random.Random(4)
+    names = [a for s in stages.STAGES for a, _ in s.outputs] + ["camera"]
+    rows = [(rec, a, rnd.random() < 0.6, rnd.choice([None, 50_000, 900_000, 9_000_000]), float(rnd.choice([0, 100, 104])), True, rnd.random() < 0.5, None) for rec in (1, 2, 3, 4, 4, None) for a in names if rnd.random() < 0.9]
+    df = stages.sweep(spark.createDataFrame(rows, cols), "rec", stages.checks(spark))
+    want = []
+    for rec, a, exists, *_ in rows:
+        for s in stages.STAGES:
+            ref = dict(s.outputs).get(a, "none")
+            if rec is None or ref == "none" or not (exists or a not in stages.OPTIONAL) or not any(r[0] == rec and r[1] in dict(s.outputs) and r[2] for r in rows):
+                continue
+            want += [(rec, s.name, a)] * max(1, sum(r[0] == rec and r[1] == ref for r in rows))
+    assert sorted((r.rec, r.stage, r.artifact) for r in df.collect()) == sorted(want)
+    from talkmill.plans import registry
+
+    for name in ("stage_sweep", "stage_verdicts"):
+        assert plan(registry.queries()[name](spark, DIR)).count("orders.parquet") + plan(registry.queries()[name](spark, DIR)).count("Relation [") == 1
+
+
+def test_the_best_artifact_is_chosen_within_its_recording(spark):
+    from talkmill.plans import registry
+
+    assert "Join" not in plan(registry.queries()["best_artifact"](spark, DIR))
+    wanted = spark.createDataFrame([(r, "w", c, i, c == "b") for r in (1, 2, 3) for i, c in enumerate("abc")] + [(None, "w", "b", 1, True)], "rec long, want string, candidate string, priority int, is_default boolean")
+    have = spark.createDataFrame([(1, "c"), (1, "a"), (1, "a"), (2, "c")], "rec long, artifact string")
+    assert sorted(map(str, med.best_artifact(wanted, have, "rec").collect())) == sorted(["Row(rec=1, want='w', artifact='a', present=True)", "Row(rec=2, want='w', artifact='c', present=True)", "Row(rec=3, want='w', artifact='b', present=False)", "Row(rec=None, want='w', artifact='b', present=False)"])
