@@ -133,25 +133,92 @@ def examples(faces: DataFrame, rank: DataFrame, key: list[str], pos: str, cluste
     return faces.join(best, [*key, label]).withColumn("example", F.row_number().over(w)).filter(F.col("example") <= per)
 
 
+def nearest(sums: np.ndarray, sizes: np.ndarray, of: np.ndarray, cells: int = 4_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """(mean cosine distance, place) of the nearest other cluster of each of some clusters; blocks of so many cells at a time."""
+    gap, at = np.full(len(of), np.inf), np.zeros(len(of), int)
+    for low in range(0, len(of), step := max(1, cells // max(1, len(sums)))):
+        own = of[low : low + step]
+        block = 1 - (sums[own] / sizes[own, None]) @ (sums / sizes[:, None]).T
+        block[np.arange(len(own)), own] = np.inf
+        np.nan_to_num(block, copy=False, nan=np.inf, posinf=np.inf)
+        at[low : low + step] = block.argmin(1)
+        gap[low : low + step] = block[np.arange(len(own)), at[low : low + step]]
+    return gap, at
+
+
 def average_linkage(vectors: np.ndarray, threshold: float = CLUSTER) -> np.ndarray:
-    """Labels by agglomeration on mean cosine distance below a threshold; labels count by first member."""
+    """Labels by agglomeration on mean cosine distance below a threshold; labels count by first member.
+
+    The mean distance of two clusters is 1 less the product of their mean unit vectors,
+    so sums and sizes stand for the matrix of distances. Clusters that are each other's
+    nearest are merged in rounds: a merged cluster is no nearer to a third than the
+    nearer of its parts, so this gives the tree of merging the nearest two each time
+    (where distances differ), and only clusters whose nearest was merged look again.
+    """
     n = len(vectors)
-    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    gap = 1 - unit @ unit.T
-    np.fill_diagonal(gap, np.inf)
-    size, owner, alive = np.ones(n), np.arange(n), np.ones(n, bool)
-    for _ in range(n - 1):
-        a, b = divmod(int(gap.argmin()), n)
-        if not gap[a, b] < threshold:
-            break
-        a, b = min(a, b), max(a, b)
-        row = (size[a] * gap[a] + size[b] * gap[b]) / (size[a] + size[b])
-        gap[a], gap[:, a] = row, row
-        gap[b], gap[:, b] = np.inf, np.inf
-        gap[a, a] = np.inf
-        size[a] += size[b]
-        alive[b] = False
-        owner[owner == b] = a
+    if not n:
+        return np.zeros(0, int)
+    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = vectors / np.maximum(norms, 1e-12)
+    owner = np.arange(n)  # each vector's cluster
+    if threshold > 0:  # copies are merged before all others; vectors of no length are apart from one another
+        owner = np.unique(np.hstack([unit, np.where(norms > 1e-12, -1.0, np.arange(n)[:, None])]), axis=0, return_inverse=True)[1].reshape(-1)
+    sizes = np.bincount(owner).astype(float)
+    sums = unit[np.unique(owner, return_index=True)[1]] * sizes[:, None]
+    gap, at = nearest(sums, sizes, np.arange(len(sums)))
+    while True:
+        places = np.arange(len(sums))
+        open_ = gap < threshold
+        a = places[open_ & (at[at] == places) & (places < at)]
+        if len(a) * 20 < open_.sum():  # a star or a ring: few pairs in a round
+            return counted(chained(sums, sizes, threshold)[owner])
+        if not len(a):
+            return counted(owner)
+        low, high = a, at[a]
+        sums[low] += sums[high]
+        sizes[low] += sizes[high]
+        merged, kept, into = np.zeros(len(sums), bool), np.ones(len(sums), bool), places.copy()
+        merged[a] = merged[high] = True
+        kept[high], into[high] = False, low
+        new = np.cumsum(kept) - 1
+        owner = new[into[owner]]
+        again = (merged | (merged[at] & open_))[kept]  # one that had none near never gets one
+        sums, sizes, gap, at = sums[kept], sizes[kept], gap[kept], new[into[at[kept]]]
+        gap[again], at[again] = nearest(sums, sizes, np.flatnonzero(again))
+
+
+def chained(sums: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """Each cluster's cluster in the end, by chains of nearest neighbours: a product with all means for each link, three for each cluster at most."""
+    sums, sizes = sums.copy(), sizes.copy()
+    means, alive, into, chain = sums / sizes[:, None], np.ones(len(sums), bool), np.arange(len(sums)), []
+    for start in range(len(sums)):
+        while chain or alive[start]:
+            tip = chain[-1] if chain else start
+            chain = chain or [start]
+            gap = np.where(alive, 1 - means @ means[tip], np.inf)
+            gap[tip] = np.inf
+            np.nan_to_num(gap, copy=False, nan=np.inf, posinf=np.inf)
+            best = int(gap.argmin())
+            if len(chain) > 1 and gap[chain[-2]] <= gap[best]:
+                best = chain[-2]
+            if not gap[best] < threshold:
+                alive[tip] = False
+                chain.pop()
+            elif len(chain) > 1 and best == chain[-2]:
+                chain = chain[:-2]
+                low, high = min(tip, best), max(tip, best)
+                sums[low] += sums[high]
+                sizes[low] += sizes[high]
+                means[low], alive[high], into[high] = sums[low] / sizes[low], False, low
+            else:
+                chain.append(best)
+    for i in range(len(into)):  # a cluster goes into an earlier one
+        into[i] = into[into[i]]
+    return into
+
+
+def counted(owner: np.ndarray) -> np.ndarray:
+    """Labels by first member."""
     first = {o: i for i, o in enumerate(dict.fromkeys(owner.tolist()))}
     return np.array([first[o] for o in owner.tolist()], int)
 
