@@ -258,7 +258,7 @@ def interpolate(spark, d) -> DataFrame:
 @query(f"WITH {SMOOTH} SELECT rec, frame, round(cx, 4) AS cx, round(cy, 4) AS cy FROM smooth")
 def smooth(spark, d) -> DataFrame:
     """W8."""
-    return ser.smoothed(filled(spark, d), "rec", ["cx", "cy"], WINDOW).select("rec", "frame", F.round("cx", 4).alias("cx"), F.round("cy", 4).alias("cy"))
+    return ser.smoothed(filled(spark, d), "rec", ["cx", "cy"], WINDOW, in_order=True).select("rec", "frame", F.round("cx", 4).alias("cx"), F.round("cy", 4).alias("cy"))
 
 
 BAND = """WITH RECURSIVE points AS (SELECT user_id AS rec, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame, value AS v FROM events),
@@ -293,7 +293,7 @@ def crop_path(spark, d) -> DataFrame:
 @query(f"WITH {PATH}, steps AS (SELECT rec, abs(x - lag(x) OVER (PARTITION BY rec ORDER BY frame)) AS step FROM path) SELECT rec, round(avg(step), 6) AS mean_pan FROM steps GROUP BY rec")
 def mean_pan(spark, d) -> DataFrame:
     """A9."""
-    return ser.mean_pan(path(spark, d), "rec").withColumn("mean_pan", F.round("mean_pan", 6))
+    return ser.mean_pan(path(spark, d), "rec", in_order=True).withColumn("mean_pan", F.round("mean_pan", 6))
 
 
 @query()

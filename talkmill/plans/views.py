@@ -52,8 +52,8 @@ SAID = f"""said AS (
 
 
 def boxes(spark: SparkSession, sf_dir: str, every: int = 4) -> DataFrame:
-    """Detections: rec, frame, det_pos, x1, y1, x2, y2, score, sim."""
-    line = table(spark, sf_dir, "lineitem")
+    """Detections: rec, frame, det_pos, x1, y1, x2, y2, score, sim; dealt by recording, so what follows by recording is not dealt again."""
+    line = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     x, y = F.pmod("l_partkey", F.lit(60)).cast("double"), F.pmod("l_suppkey", F.lit(40)).cast("double")
     return line.select(

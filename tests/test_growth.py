@@ -5,8 +5,11 @@ import tracemalloc
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from talkmill.operators import identity as idn
 from talkmill.operators import media as med
+from talkmill.operators import series as ser
 from talkmill.plans import stages
 
 DIR = "/root/testdata/sf0.001"
@@ -88,3 +91,43 @@ def test_clusters_need_no_matrix_of_distances():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 200_000_000  # a matrix has 288 MB
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frames_are_not_dealt_or_ordered(spark):
+    from talkmill.plans import registry
+
+    for name in ("interpolate", "smooth", "crop_path", "mean_pan"):
+        above = physical(registry.queries()[name](spark, DIR)).split("Generate")[0]
+        assert not any(x in above for x in ("Exchange", "Sort", "Join", "Window")), name
+
+
+def test_series_across_batches(spark):
+    known = spark.createDataFrame([(1, 5, 2.0), (1, 5000, 9.0), (1, 9999, 1.0), (3, -1, 7.0), (3, 2, 4.0)], "rec long, frame long, cx double")
+    lengths = spark.createDataFrame([(1, 9000), (2, 2), (3, 4), (4, 0)], "rec long, n_frames long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        line = ser.interpolated(known, lengths, "rec", ["cx"])
+        got = {(r.rec, r.frame): r.cx for r in line.collect()}
+        want = np.interp(np.arange(9000), [5, 5000], [2.0, 9.0])
+        assert np.allclose([got.pop((1, i)) for i in range(9000)], want)
+        assert got == {(2, 0): None, (2, 1): None, (3, 0): 4.0, (3, 1): 4.0, (3, 2): 4.0, (3, 3): 4.0}
+        path = line.select("rec", "frame", (F.coalesce("cx", F.lit(0.0)) * 100).cast("long").alias("x"))
+        pan = {r.rec: r.mean_pan for r in ser.mean_pan(path, "rec", in_order=True).collect()}
+        x = np.array([int(v * 100) for v in want])
+        assert abs(pan[1] - np.abs(np.diff(x)).mean()) < 0.01 and pan[2] == pan[3] == 0.0
+        assert ser.mean_pan(path.filter("frame = 0"), "rec").first().mean_pan is None
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_boxes_are_dealt_once(spark):
+    from talkmill.plans import registry
+
+    for name in ("track_faces", "track_totals"):
+        assert physical(registry.queries()[name](spark, DIR)).count("Exchange hashpartitioning(l_orderkey") == 1
+    assert physical(registry.queries()["track_faces"](spark, DIR)).count("Exchange") == 1
