@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BOX = ["x1", "y1", "x2", "y2"]
@@ -22,9 +21,11 @@ def folded(rows: DataFrame, key: list[str], order: list[str], fold: Callable[[li
     """A fold of each group's rows (tuples in column order, sorted) to rows of the schema.
 
     Groups stream through a task one after the other, so many small ones cost no
-    Python call each from the JVM and only one is held at a time.
+    Python call each from the JVM and only one is held at a time. They are dealt and
+    ordered by a window, which takes rows that lie by key already as they are; its rank
+    is the tuples' last value.
     """
-    dealt = rows.repartition(*key).sortWithinPartitions(*key, *order)
+    dealt = rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
     places = [rows.columns.index(k) for k in key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,9 +76,11 @@ class Identity:
         return not self.main and n < most and (self.asked is None or frame - self.asked >= every)
 
     def take(self, sim: float | None) -> None:
-        if sim is not None and not np.isnan(sim):
+        if sim is not None and sim == sim:
             self.sims.append(sim)
-            self.main = float(np.median(self.sims[-self.recent :])) >= self.threshold
+            last = sorted(self.sims[-self.recent :])
+            half = len(last) // 2
+            self.main = (last[half] if len(last) % 2 else (last[half - 1] + last[half]) / 2) >= self.threshold
 
 
 def tracked(detections: DataFrame, key: list[str], every: int = 4, threshold: float = 0.45, first: int = 3, again: int = 25, most: int = 40, recent: int = 5) -> DataFrame:
